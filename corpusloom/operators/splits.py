@@ -25,13 +25,18 @@ def split_train_validation(
     key: str | Sequence[str],
     validation_size: float = VALIDATION_SIZE,
     seed: object = SEED,
+    counted: DataFrame | None = None,
 ) -> DataFrame:
     """Add ``split``; validation gets exactly ``ceil(rows * validation_size)`` rows.
 
-    The rows themselves are not shuffled: the cutoff comes from the keys alone.
+    The rows themselves are not shuffled: the cutoff comes from the keys alone, read
+    from ``counted`` if a narrower table with the same keys is at hand.
     """
     cutoffs = quota_cutoffs(
-        df, key, [seed], lambda rows: F.ceil(rows * F.lit(float(validation_size)))
+        df if counted is None else counted,
+        key,
+        [seed],
+        lambda rows: F.ceil(rows * F.lit(float(validation_size))),
     )
     is_validation = order_position(key, [seed]) <= cutoffs.scalar()
     return df.withColumn("split", F.when(is_validation, VALIDATION).otherwise(TRAIN))
@@ -49,10 +54,14 @@ def cap_splits(
     key: str | Sequence[str],
     caps: Mapping[str, int] = MAX_ROWS,
     seed: object = SEED,
+    counted: DataFrame | None = None,
 ) -> DataFrame:
-    """Keep the first rows of each split in shuffled order, up to its cap."""
+    """Keep the first rows of each split in shuffled order, up to its cap.
+
+    Keys and splits are counted in ``counted`` if a narrower table is at hand.
+    """
     cap = F.create_map(*[F.lit(v) for pair in caps.items() for v in pair])
-    named = df.where(F.col("split").isin(*caps))
+    named = (df if counted is None else counted).where(F.col("split").isin(*caps))
     cutoffs = quota_cutoffs(
         named.withColumn("_cap", cap[F.col("split")]),
         key,
