@@ -103,7 +103,9 @@ def model_sequences(spark, sf_dir):
 
 
 def batches_padded(spark, sf_dir):
-    batches = sequences.padded_batches(_sequences(spark, sf_dir), "doc_id", BATCH)
+    path = new_path(spark, "dataset")
+    sources.write_dataset(_sequences(spark, sf_dir), path)
+    batches = sequences.padded_batches(sources.read_dataset(spark, path), "doc_id", BATCH)
     return batches.select("split", "batch_id", "doc_id", _text("x"), _text("y"))
 
 

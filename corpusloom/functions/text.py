@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, functions as F
 
@@ -24,8 +25,12 @@ CJK = (
 # Punctuation (ASCII marks and symbols, Unicode category P).
 PUNCTUATION = r"!-/:-@\[-`{-~\p{P}"
 
-CHAR_WORD = rf"[{PUNCTUATION}]|[^\s{PUNCTUATION}]+"
-CHAR_WORD_CJK = rf"[{PUNCTUATION}{CJK}]|[^\s{PUNCTUATION}{CJK}]+"
+# The spaces between words; other control characters vanish.
+BLANK = r" \t\n\r\p{Z}"
+CONTROL = r"[\x{FFFD}\p{C}&&[^\t\n\r]]"
+
+CHAR_WORD = rf"[^{BLANK}{PUNCTUATION}]+|[{PUNCTUATION}]"
+CHAR_WORD_CJK = rf"[^{BLANK}{PUNCTUATION}{CJK}]+|[{PUNCTUATION}{CJK}]"
 # A quick test for texts that may hold such characters.
 MAY_BE_CJK = r"[^\x{0}-\x{33FF}]"
 
@@ -51,21 +56,15 @@ def check_kind(kind: str) -> str:
     return kind
 
 
-def clean_text(text: Column) -> Column:
-    """Drop control characters, turn every kind of space into a plain one."""
-    visible = F.regexp_replace(text, r"[\x{FFFD}\p{C}&&[^\t\n\r]]", "")
-    return F.regexp_replace(visible, r"[\t\n\r\p{Z}]", " ")
-
-
 def _extract(text: Column, pattern: str) -> Column:
     return F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
 
 
 def char_words(text: Column) -> Column:
-    """Words and single punctuation marks."""
-    clean = clean_text(text)
-    return F.when(text.rlike(MAY_BE_CJK), _extract(clean, CHAR_WORD_CJK)).otherwise(
-        _extract(clean, CHAR_WORD)
+    """Words and single punctuation marks, without control characters."""
+    visible = F.when(text.rlike(CONTROL), F.regexp_replace(text, CONTROL, "")).otherwise(text)
+    return F.when(text.rlike(MAY_BE_CJK), _extract(visible, CHAR_WORD_CJK)).otherwise(
+        _extract(visible, CHAR_WORD)
     )
 
 
@@ -99,7 +98,9 @@ def encoding_words(text: Column, kind: str, special_tokens: Sequence[str] = ())
             lambda p: F.when(p.isin(*special_tokens), F.array(p)).otherwise(split_up(p)),
         )
     )
-    return F.when(text.rlike(special), cut).otherwise(split_up(text))
+    # Plain byte searches, far cheaper than a pattern over every text.
+    has_special = reduce(lambda a, b: a | b, [F.contains(text, F.lit(t)) for t in longest_first])
+    return F.when(has_special, cut).otherwise(split_up(text))
 
 
 def _byte_characters() -> list[int]:

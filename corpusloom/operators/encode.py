@@ -40,8 +40,19 @@ def _small(df: DataFrame, what: str) -> list:
 def _segmenter(rules: Broadcast, suffix: str) -> Callable:
     """The function that runs in the tasks; nested, so that it travels without this package."""
 
-    def merge(ids: list[int], merges: dict) -> list[int]:
+    def merge_short(ids: list[int], merges: dict) -> list[int]:
         """Merge adjacent ids, lowest rank first and leftmost first among equals."""
+        while len(ids) > 1:
+            found = [merges.get(pair) for pair in zip(ids, ids[1:])]
+            ranked = [(rule[0], at) for at, rule in enumerate(found) if rule]
+            if not ranked:
+                break
+            at = min(ranked)[1]
+            ids[at : at + 2] = [found[at][1]]
+        return ids
+
+    def merge_long(ids: list[int], merges: dict) -> list[int]:
+        """The same with a queue of pairs, for words of any length."""
         end = len(ids)
         after = list(range(1, end + 1))
         before = list(range(-1, end - 1))
@@ -77,7 +88,7 @@ def _segmenter(rules: Broadcast, suffix: str) -> Callable:
         found = [ids.get(letter, unknown) for letter in letters]
         if None in found:
             raise ValueError(f"not in the vocabulary: {letters[found.index(None)]!r} of {word!r}")
-        return merge(found, merges)
+        return merge_short(found, merges) if len(found) < 64 else merge_long(found, merges)
 
     def segment(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
