@@ -16,7 +16,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, Row, functions as F
 
 from corpusloom.functions.text import CHAR_BPE, SPECIAL_TOKENS, WORD_SUFFIX, check_kind
-from corpusloom.operators.words import neighbours, word_counts
+from corpusloom.operators.words import word_counts
 from corpusloom.shared import through_table
 from corpusloom.sources.tokenizers import MERGES_SCHEMA, VOCAB_SCHEMA, Tokenizer
 
@@ -120,11 +120,15 @@ def _replay(words: DataFrame, merges: Sequence[tuple[str, str]]) -> DataFrame:
     return words.select("n", spelled.alias("word")).where(F.length("word") > 1)
 
 
+def _runs(length: int) -> Column:
+    """All runs of so many adjacent symbols of a word, overlapping ones too."""
+    return F.regexp_extract_all("word", F.lit(f"(?s)(?=({'.' * length}))"), F.lit(1))
+
+
 def _best_pairs(words: DataFrame) -> list[Row]:
     """The most frequent pairs: count down, then left id and right id up."""
-    spelled = words.select("n", F.split("word", "").alias("symbols"))
     return (
-        spelled.select("n", F.explode(neighbours(F.col("symbols"))).alias("pair"))
+        words.select("n", F.explode(_runs(2)).alias("pair"))
         .groupBy("pair")
         .agg(F.sum("n").alias("count"))
         .orderBy(F.desc("count"), "pair")
@@ -140,17 +144,8 @@ def _surroundings(words: DataFrame, pairs: list[str]) -> list[Row]:
     neighbour; ``shared`` lists the overlaps with other listed pairs.
     """
     listed = ", ".join(_quoted(p) for p in pairs)
-    spelled = words.select("n", F.split("word", "").alias("symbols"))
-    twos = spelled.select("n", "symbols", neighbours(F.col("symbols")).alias("pairs"))
-    shorter = F.size("pairs") - 1
-    threes = F.zip_with(
-        F.slice("pairs", F.lit(1), shorter),
-        F.slice("symbols", F.lit(3), shorter),
-        lambda two, one: F.concat(two, one),
-    )
     counted = (
-        twos.where(F.size("symbols") > 2)
-        .select("n", F.explode(threes).alias("three"))
+        words.select("n", F.explode(_runs(3)).alias("three"))
         .where(f"left(three, 2) in ({listed}) or right(three, 2) in ({listed})")
         .groupBy("three")
         .agg(F.sum("n").alias("count"))
