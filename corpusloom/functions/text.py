@@ -122,8 +122,9 @@ def bytes_to_characters(text: Column) -> Column:
 
 def characters_to_text(shown: Column) -> Column:
     """Back to text; bytes that are not valid UTF-8 become replacement characters."""
-    raw = F.encode(F.translate(shown, _SHOWN, _RAW), "ISO-8859-1")
-    return F.make_valid_utf8(raw.cast("string"))
+    # Byte 0 is put back by itself: to translate() it would mean "drop".
+    raw = F.replace(F.translate(shown, _SHOWN[1:], _RAW[1:]), F.lit(_SHOWN[0]), F.lit(_RAW[0]))
+    return F.make_valid_utf8(F.encode(raw, "ISO-8859-1").cast("string"))
 
 
 def tokens_to_text(tokens: Column, kind: str) -> Column:

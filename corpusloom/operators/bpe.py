@@ -26,7 +26,7 @@ ALPHABET_LIMIT = 1_000
 
 # Pairs listed in a round, and merges replayed before the word table is written anew.
 _LISTED = 256
-_REPLAYED = 24
+_REPLAYED = 64
 # Words in a partition of the word table, at most.
 _WORDS_A_TASK = 1_000_000
 
