@@ -24,9 +24,11 @@ from corpusloom.sources.tokenizers import MERGES_SCHEMA, VOCAB_SCHEMA, Tokenizer
 VOCAB_SIZE = 30_000
 ALPHABET_LIMIT = 1_000
 
+# Stands for the end of a word; no symbol is code point 0.
+_END = "\0"
 # Pairs listed in a round, and merges replayed before the word table is written anew.
 _LISTED = 256
-_REPLAYED = 64
+_REPLAYED = 16
 # Words in a partition of the word table, at most.
 _WORDS_A_TASK = 1_000_000
 
@@ -120,36 +122,40 @@ def _replay(words: DataFrame, merges: Sequence[tuple[str, str]]) -> DataFrame:
     return words.select("n", spelled.alias("word")).where(F.length("word") > 1)
 
 
-def _runs(length: int) -> Column:
-    """All runs of so many adjacent symbols of a word, overlapping ones too."""
-    return F.regexp_extract_all("word", F.lit(f"(?s)(?=({'.' * length}))"), F.lit(1))
+def _triples(words: DataFrame) -> DataFrame:
+    """Rows ``(three, count)``: three adjacent symbols, or the last two and ``_END``.
+
+    One pass over the words serves the whole round: every pair but for its end is
+    the head of exactly one triple.
+    """
+    threes = F.regexp_extract_all(
+        F.concat("word", F.lit(_END)), F.lit("(?s)(?=(...))"), F.lit(1)
+    )
+    return (
+        words.select("n", F.explode(threes).alias("three"))
+        .groupBy("three")
+        .agg(F.sum("n").alias("count"))
+    )
 
 
-def _best_pairs(words: DataFrame) -> list[Row]:
+def _best_pairs(triples: DataFrame) -> list[Row]:
     """The most frequent pairs: count down, then left id and right id up."""
     return (
-        words.select("n", F.explode(_runs(2)).alias("pair"))
-        .groupBy("pair")
-        .agg(F.sum("n").alias("count"))
+        triples.groupBy(F.expr("left(three, 2)").alias("pair"))
+        .agg(F.sum("count").alias("count"))
         .orderBy(F.desc("count"), "pair")
         .limit(_LISTED)
         .collect()
     )
 
 
-def _surroundings(words: DataFrame, pairs: list[str]) -> list[Row]:
+def _surroundings(triples: DataFrame, pairs: list[str]) -> list[Row]:
     """What stands left and right of each listed pair, one row a pair and side.
 
     ``down`` and ``next`` are minus the count and the symbol of the most frequent
     neighbour; ``shared`` lists the overlaps with other listed pairs.
     """
     listed = ", ".join(_quoted(p) for p in pairs)
-    counted = (
-        words.select("n", F.explode(_runs(3)).alias("three"))
-        .where(f"left(three, 2) in ({listed}) or right(three, 2) in ({listed})")
-        .groupBy("three")
-        .agg(F.sum("n").alias("count"))
-    )
     seen = F.expr(
         "array(named_struct('pair', left(three, 2), 'side', 'right',"
         "                   'other', right(three, 2), 'next', right(three, 1)),"
@@ -158,7 +164,9 @@ def _surroundings(words: DataFrame, pairs: list[str]) -> list[Row]:
     )
     overlap = F.expr(f"if(other in ({listed}), struct(other, count), null)")
     return (
-        counted.select("count", F.explode(seen).alias("s"))
+        triples.where(F.right("three", F.lit(1)) != _END)
+        .where(f"left(three, 2) in ({listed}) or right(three, 2) in ({listed})")
+        .select("count", F.explode(seen).alias("s"))
         .select("count", "s.*")
         .where(f"pair in ({listed})")
         .groupBy("pair", "side")
@@ -261,11 +269,14 @@ def train_bpe(
     words = through_table(words.where(F.length("word") > 1), "symbols")
     replayed: list[tuple[str, str]] = []
     while len(vocab.tokens) < size:
-        now = _replay(words, replayed)
-        best = _best_pairs(now)
+        # Kept for two small jobs; what a lost executor held is counted again.
+        triples = _triples(_replay(words, replayed)).persist()
+        best = _best_pairs(triples)
         if not best or best[0]["count"] < max(least, 1):
+            triples.unpersist()
             break
-        around = _surroundings(now, [r["pair"] for r in best])
+        around = _surroundings(triples, [r["pair"] for r in best])
+        triples.unpersist()
         taken = _certain_merges(best, around, vocab, size - len(vocab.tokens), least)
         replayed += taken
         if len(replayed) >= _REPLAYED:
