@@ -18,6 +18,7 @@ from corpusloom.plans.prepare import prepare_corpus
 from corpusloom.plans.train import train_on_corpus
 from corpusloom.shared import new_path
 from corpusloom.sources import texts as sources
+from corpusloom.sources.tokenizer_json import read_tokenizer_json, write_tokenizer_json
 from corpusloom.sources.tokenizers import Tokenizer, load_tokenizer, save_tokenizer
 from corpusloom.streaming.tokenize import tokenize_stream
 
@@ -200,6 +201,12 @@ def tokenizer_saved(spark, sf_dir):
     return load_tokenizer(spark, path).merges
 
 
+def tokenizer_json(spark, sf_dir):
+    path = new_path(spark, "tokenizer-json")
+    write_tokenizer_json(tokenizer(spark, sf_dir), path)
+    return read_tokenizer_json(spark, path).merges
+
+
 def _encoded(spark, sf_dir, kind):
     return encode(documents(spark, sf_dir), tokenizer(spark, sf_dir, kind), "doc_id")
 
@@ -365,6 +372,7 @@ def all_queries() -> dict[str, Query]:
         "special_ids": special_ids,
         "eot_id": eot_id,
         "tokenizer_saved": tokenizer_saved,
+        "tokenizer_json": tokenizer_json,
         "encode": encode_char,
         "encode_byte": encode_byte,
         "encode_benchmark": encode_benchmark,

@@ -317,6 +317,7 @@ def oracle() -> dict[str, str]:
             SELECT coalesce(max(id) FILTER (token = '<|end_of_text|>'), max(id) FILTER (token = '</s>'), 2) AS eot_id
             FROM vocab""",
         "tokenizer_saved": f"{trained('byte')} {MERGES}",
+        "tokenizer_json": f"{trained('char')} {MERGES}",
         "encode": f"{encoded('char')} {ENCODED}",
         "encode_byte": f"{encoded('byte')} {ENCODED}",
         "encode_benchmark": f"{encoded('char', held_out)} {ENCODED}",
