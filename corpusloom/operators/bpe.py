@@ -165,7 +165,6 @@ def _surroundings(triples: DataFrame, pairs: list[str]) -> list[Row]:
     overlap = F.expr(f"if(other in ({listed}), struct(other, count), null)")
     return (
         triples.where(F.right("three", F.lit(1)) != _END)
-        .where(f"left(three, 2) in ({listed}) or right(three, 2) in ({listed})")
         .select("count", F.explode(seen).alias("s"))
         .select("count", "s.*")
         .where(f"pair in ({listed})")
