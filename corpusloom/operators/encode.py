@@ -173,7 +173,7 @@ def encode(
     """Rows ``(*key, raw_ids)``, one for each row of ``df``; ``key`` must be unique.
 
     The dictionary is built at once; the result is lazy. Texts cross the network
-    once, to bring the pieces of a text together.
+    once, to bring the pieces of a text together, and again if rare words remain.
     """
     keys = as_keys(key)
     special = [r["token"] for r in _small(tokenizer.vocab.where("is_special"), "tokens")]
