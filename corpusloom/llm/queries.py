@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from corpusloom.llm.decontaminate import contamination
 from corpusloom.llm.exact_dedup import exact_duplicates
 from corpusloom.llm.sharding import shard_rows
 from corpusloom.llm.url_filter import judge_urls
@@ -27,6 +28,11 @@ def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_duplicates(documents(spark, sf_dir))
 
 
+def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    return contamination(documents(spark, sf_dir), benchmark)
+
+
 def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_rows(documents(spark, sf_dir), SHARDS)
 
@@ -40,6 +46,7 @@ def op9_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op3_exact_dedup": op3_exact_dedup,
+        "op6_decontamination": op6_decontamination,
         "op7_sharding": op7_sharding,
         "op9_url_filters": op9_url_filters,
     }

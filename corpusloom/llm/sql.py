@@ -9,6 +9,24 @@ SELECT doc_id, min(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
 FROM t WINDOW w AS (PARTITION BY n)
 """
 
+OP6 = r"""
+WITH lw AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                             '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+bw AS (SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                         '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+bn AS (SELECT item_id, w, least(len(w), 13) AS k FROM bw WHERE len(w) > 0),
+win AS (SELECT DISTINCT item_id, k, w[s:s + k - 1] AS x FROM (SELECT item_id, w, k, unnest(range(1, len(w) - k + 2)) AS s FROM bn)),
+pos AS (SELECT doc_id, w, unnest(range(1, len(w) + 1)) AS s FROM lw),
+occ AS (SELECT doc_id, s, z.k, w[s:s + z.k - 1] AS x FROM pos, (SELECT DISTINCT k FROM win) z WHERE s + z.k - 1 <= len(w)),
+hit AS (SELECT o.doc_id, o.s, o.k, win.item_id FROM occ o JOIN win ON o.k = win.k AND o.x = win.x),
+np AS (SELECT doc_id, count(DISTINCT p) AS n FROM (SELECT doc_id, unnest(range(s, s + k)) AS p FROM hit) GROUP BY 1),
+ni AS (SELECT doc_id, count(DISTINCT item_id) AS n, string_agg(DISTINCT item_id::VARCHAR, ',' ORDER BY item_id::VARCHAR) AS l FROM hit GROUP BY 1)
+SELECT lw.doc_id, len(w) AS n_words, coalesce(np.n, 0) AS n_hit, coalesce(ni.n, 0) AS n_items,
+       sha256(coalesce(ni.l, '')) AS items_sha256,
+       coalesce(np.n, 0) > 0 AND 20 * coalesce(np.n, 0) >= len(w) AS contaminated
+FROM lw LEFT JOIN np USING (doc_id) LEFT JOIN ni USING (doc_id)
+"""
+
 OP9 = r"""
 WITH rules(host, path, verdict) AS (VALUES ('net', '/', 'block'), ('example.net', '/en/', 'allow'),
                                            ('example.com', '/de/', 'block'), ('org', '/fr/', 'allow')),
@@ -24,4 +42,4 @@ SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM m W
 
 
 def llm_sql() -> dict[str, str]:
-    return {"op3_exact_dedup": OP3, "op9_url_filters": OP9}
+    return {"op3_exact_dedup": OP3, "op6_decontamination": OP6, "op9_url_filters": OP9}

@@ -61,6 +61,13 @@ def join_hot(rows: DataFrame, table: DataFrame, keys: Sequence[str], size: str,
     )
 
 
+def left_null_safe(rows: DataFrame, table: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Left join in which null keys match each other."""
+    other = table.withColumnsRenamed({k: f"_{k}" for k in keys})
+    same = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys]
+    return rows.join(other, same, "left").drop(*[f"_{k}" for k in keys])
+
+
 def ascii_lower(text: Column) -> Column:
     """A-Z lower-cased, everything else as it is."""
     return F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
