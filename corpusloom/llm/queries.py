@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from corpusloom.llm.decontaminate import contamination
 from corpusloom.llm.exact_dedup import exact_duplicates
+from corpusloom.llm.line_dedup import dedup_lines
 from corpusloom.llm.sharding import shard_rows
 from corpusloom.llm.url_filter import judge_urls
 
@@ -28,6 +29,11 @@ def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_duplicates(documents(spark, sf_dir))
 
 
+def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    digest = F.sha2(F.col("text").cast("binary"), 256).alias("text_sha256")
+    return dedup_lines(documents(spark, sf_dir)).select("doc_id", "n_lines", "n_dropped", digest)
+
+
 def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
     return contamination(documents(spark, sf_dir), benchmark)
@@ -46,6 +52,7 @@ def op9_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op3_exact_dedup": op3_exact_dedup,
+        "op4_line_dedup": op4_line_dedup,
         "op6_decontamination": op6_decontamination,
         "op7_sharding": op7_sharding,
         "op9_url_filters": op9_url_filters,

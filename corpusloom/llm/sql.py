@@ -9,6 +9,26 @@ SELECT doc_id, min(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
 FROM t WINDOW w AS (PARTITION BY n)
 """
 
+OP4 = r"""
+WITH t AS (SELECT doc_id, string_split(text, chr(10)) AS w FROM documents),
+o AS (SELECT doc_id, unnest(w) AS line, unnest(range(len(w))) AS pos FROM t),
+n AS (SELECT * FROM o WHERE trim(translate(line, chr(9) || chr(13) || chr(11) || chr(12), '    ')) <> ''),
+d AS (SELECT line, min((doc_id, pos)) AS f, length(line) AS k FROM n GROUP BY line),
+-- levenshtein() counts bytes here, so it only narrows the pairs down: one character is four bytes at most
+pairs AS (SELECT x.line, CASE WHEN x.k >= y.k THEN x.line ELSE y.line END AS p, CASE WHEN x.k >= y.k THEN y.line ELSE x.line END AS q
+          FROM d x JOIN d y ON y.k BETWEEN x.k - 1 AND x.k + 1 AND y.f < x.f AND levenshtein(x.line, y.line) <= 4),
+near AS (SELECT DISTINCT line FROM pairs
+         WHERE len(list_filter(range(1, length(p) + 1), lambda i: p[:i - 1] || p[i + 1:] = q
+                               OR length(p) = length(q) AND p[:i - 1] || p[i + 1:] = q[:i - 1] || q[i + 1:])) > 0),
+keep AS (SELECT n.doc_id, n.pos FROM n JOIN d ON n.line = d.line AND (n.doc_id, n.pos) = d.f
+         WHERE n.line NOT IN (SELECT line FROM near)),
+left_over AS (SELECT o.doc_id, o.line, o.pos FROM o LEFT JOIN n USING (doc_id, pos) LEFT JOIN keep USING (doc_id, pos)
+              WHERE n.doc_id IS NULL OR keep.doc_id IS NOT NULL),
+j AS (SELECT doc_id, count(*) AS c, string_agg(line, chr(10) ORDER BY pos) AS s FROM left_over GROUP BY 1)
+SELECT t.doc_id, len(w) AS n_lines, len(w) - coalesce(c, 0) AS n_dropped, sha256(coalesce(s, '')) AS text_sha256
+FROM t LEFT JOIN j USING (doc_id)
+"""
+
 OP6 = r"""
 WITH lw AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
                                              '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
@@ -42,4 +62,4 @@ SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM m W
 
 
 def llm_sql() -> dict[str, str]:
-    return {"op3_exact_dedup": OP3, "op6_decontamination": OP6, "op9_url_filters": OP9}
+    return {"op3_exact_dedup": OP3, "op4_line_dedup": OP4, "op6_decontamination": OP6, "op9_url_filters": OP9}
