@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from corpusloom.llm.decontaminate import contamination
 from corpusloom.llm.exact_dedup import exact_duplicates
 from corpusloom.llm.line_dedup import dedup_lines
+from corpusloom.llm.ngram_join import jaccard_components
 from corpusloom.llm.sharding import shard_rows
 from corpusloom.llm.url_filter import judge_urls
 
@@ -43,6 +44,10 @@ def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_rows(documents(spark, sf_dir), SHARDS)
 
 
+def op8_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_components(documents(spark, sf_dir))
+
+
 def op9_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
     rules = spark.createDataFrame(RULES, "host string, path string, verdict string")
@@ -55,5 +60,6 @@ def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op4_line_dedup": op4_line_dedup,
         "op6_decontamination": op6_decontamination,
         "op7_sharding": op7_sharding,
+        "op8_ngram_join": op8_ngram_join,
         "op9_url_filters": op9_url_filters,
     }

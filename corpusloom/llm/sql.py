@@ -47,6 +47,19 @@ SELECT lw.doc_id, len(w) AS n_words, coalesce(np.n, 0) AS n_hit, coalesce(ni.n,
 FROM lw LEFT JOIN np USING (doc_id) LEFT JOIN ni USING (doc_id)
 """
 
+OP8 = r"""
+WITH RECURSIVE w AS (SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                                               '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents),
+s AS (SELECT DISTINCT doc_id, w[i:i + least(3, len(w)) - 1] AS g
+      FROM (SELECT doc_id, w, unnest(range(1, len(w) - least(3, len(w)) + 2)) AS i FROM w WHERE len(w) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY 1),
+common AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM s a JOIN s b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY 1, 2),
+link AS (SELECT a, b FROM common JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * c >= 90 * (x.n + y.n - c)),
+reach AS (SELECT doc_id AS a, doc_id AS b FROM w UNION SELECT r.a, link.b FROM reach r JOIN link ON r.b = link.a)
+SELECT w.doc_id, coalesce(n.n, 0) AS n_shingles, c.component_id
+FROM w LEFT JOIN n USING (doc_id) JOIN (SELECT a AS doc_id, min(b) AS component_id FROM reach GROUP BY 1) c USING (doc_id)
+"""
+
 OP9 = r"""
 WITH rules(host, path, verdict) AS (VALUES ('net', '/', 'block'), ('example.net', '/en/', 'allow'),
                                            ('example.com', '/de/', 'block'), ('org', '/fr/', 'allow')),
@@ -62,4 +75,4 @@ SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM m W
 
 
 def llm_sql() -> dict[str, str]:
-    return {"op3_exact_dedup": OP3, "op4_line_dedup": OP4, "op6_decontamination": OP6, "op9_url_filters": OP9}
+    return {"op3_exact_dedup": OP3, "op4_line_dedup": OP4, "op6_decontamination": OP6, "op8_ngram_join": OP8, "op9_url_filters": OP9}
