@@ -4,12 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from corpusloom.llm.decontaminate import contamination
 from corpusloom.llm.exact_dedup import exact_duplicates
 from corpusloom.llm.line_dedup import dedup_lines
 from corpusloom.llm.ngram_join import jaccard_components
+from corpusloom.llm.pieces import round_trip_pieces
 from corpusloom.llm.sharding import shard_rows
 from corpusloom.llm.url_filter import judge_urls
 
@@ -54,6 +56,12 @@ def op9_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_urls(pages, rules)
 
 
+def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    digest = F.sha2(F.col("decoded").cast("binary"), 256).alias("text_sha256")
+    rows = round_trip_pieces(documents(spark, sf_dir), public_tokenizers.path("piece_bpe_32k.model"))
+    return rows.select("doc_id", "n_ids", "ids_crc32", "same", digest)
+
+
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op3_exact_dedup": op3_exact_dedup,
@@ -62,4 +70,5 @@ def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op7_sharding": op7_sharding,
         "op8_ngram_join": op8_ngram_join,
         "op9_url_filters": op9_url_filters,
+        "op10_sentencepiece": op10_sentencepiece,
     }
