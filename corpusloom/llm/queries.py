@@ -13,7 +13,9 @@ from corpusloom.llm.line_dedup import dedup_lines
 from corpusloom.llm.ngram_join import jaccard_components
 from corpusloom.llm.pieces import round_trip_pieces
 from corpusloom.llm.sharding import shard_rows
+from corpusloom.llm.token_store import id_digests, read_index, write_ids
 from corpusloom.llm.url_filter import judge_urls
+from corpusloom.shared import new_path
 
 SHARDS = 24
 RULES = [
@@ -28,6 +30,12 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def op2_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = new_path(spark, "token-ids")
+    write_ids(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"), path)
+    return id_digests(read_index(spark, path), path)
+
+
 def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_duplicates(documents(spark, sf_dir))
 
@@ -64,6 +72,7 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op2_token_ids": op2_token_ids,
         "op3_exact_dedup": op3_exact_dedup,
         "op4_line_dedup": op4_line_dedup,
         "op6_decontamination": op6_decontamination,
