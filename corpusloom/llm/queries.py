@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from corpusloom.llm.decontaminate import contamination
 from corpusloom.llm.exact_dedup import exact_duplicates
+from corpusloom.llm.language_id import held_out, predict_language, train_language_model
 from corpusloom.llm.line_dedup import dedup_lines
 from corpusloom.llm.ngram_join import jaccard_components
 from corpusloom.llm.pieces import round_trip_pieces
@@ -45,6 +46,13 @@ def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup_lines(documents(spark, sf_dir)).select("doc_id", "n_lines", "n_dropped", digest)
 
 
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    model = train_language_model(docs.where(~held_out(F.col("doc_id"))))
+    held = held_out(F.col("doc_id")).alias("held_out")
+    return predict_language(docs, model).select("doc_id", held, "lang_pred", "score")
+
+
 def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
     return contamination(documents(spark, sf_dir), benchmark)
@@ -75,6 +83,7 @@ def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op2_token_ids": op2_token_ids,
         "op3_exact_dedup": op3_exact_dedup,
         "op4_line_dedup": op4_line_dedup,
+        "op5_language_id": op5_language_id,
         "op6_decontamination": op6_decontamination,
         "op7_sharding": op7_sharding,
         "op8_ngram_join": op8_ngram_join,
