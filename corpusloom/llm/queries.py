@@ -13,6 +13,7 @@ from corpusloom.llm.language_id import held_out, predict_language, train_languag
 from corpusloom.llm.line_dedup import dedup_lines
 from corpusloom.llm.ngram_join import jaccard_components
 from corpusloom.llm.pieces import round_trip_pieces
+from corpusloom.llm.pseudo_likelihood import pseudo_likelihood
 from corpusloom.llm.sharding import shard_rows
 from corpusloom.llm.token_store import id_digests, read_index, write_ids
 from corpusloom.llm.url_filter import judge_urls
@@ -31,6 +32,10 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def op1_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pseudo_likelihood(documents(spark, sf_dir))
+
+
 def op2_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = new_path(spark, "token-ids")
     write_ids(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"), path)
@@ -80,6 +85,7 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_lm_scoring": op1_lm_scoring,
         "op2_token_ids": op2_token_ids,
         "op3_exact_dedup": op3_exact_dedup,
         "op4_line_dedup": op4_line_dedup,
