@@ -209,6 +209,18 @@ def predict_language(docs: DataFrame, model: Model, key: str = "doc_id", text: s
     return rows.mapInPandas(run, schema)
 
 
+def recognised(text: Column, model: Model, min_score: float) -> Column:
+    """Whether a text has a language with at least this score; for filters, without a join."""
+
+    @F.pandas_udf("boolean")
+    def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for batch in batches:
+            found = [model.predict(t) for t in batch]
+            yield pd.Series([lang != UNKNOWN and score >= min_score for lang, score in found], dtype=bool)
+
+    return run(text)
+
+
 def held_out(key: Column) -> Column:
     """Every third document, by the CRC-32 of its key as text; a null key is as an empty one."""
     return F.crc32(F.coalesce(key.cast("string"), F.lit("")).cast("binary")) % 3 == 1
