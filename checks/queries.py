@@ -12,18 +12,19 @@ from corpusloom.functions.text import BYTE_BPE, CHAR_BPE, char_words
 from corpusloom.operators import decode as decoding
 from corpusloom.operators import losses, scores, sequences, splits, stats, words
 from corpusloom.operators.bpe import train_bpe
-from corpusloom.operators.encode import encode
+from corpusloom.operators.encode import encode, with_ids
 from corpusloom.plans.build import model_ready
 from corpusloom.plans.prepare import prepare_corpus
 from corpusloom.plans.train import train_on_corpus
 from corpusloom.shared import new_path
 from corpusloom.sources import texts as sources
 from corpusloom.sources.tokenizer_json import read_tokenizer_json, write_tokenizer_json
-from corpusloom.sources.tokenizers import Tokenizer, load_tokenizer, save_tokenizer
+from corpusloom.sources.tokenizers import Tokenizer, load_tokenizer, save_tokenizer, tokenizer_name
 from corpusloom.streaming.tokenize import tokenize_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+# Only for the query whose feature they are, and its counts.
 CAPS = {"train": 300, "validation": 80}
 BATCH = 32
 
@@ -85,10 +86,14 @@ def split_conversations(spark, sf_dir):
 
 
 def sample_capped(spark, sf_dir):
-    prepared = prepare_corpus(documents(spark, sf_dir), "doc_id", caps=CAPS)
+    prepared = prepare_corpus(documents(spark, sf_dir), "doc_id", max_length=splits.MAX_TEXT_LENGTH, caps=CAPS)
     return prepared.select("split", "doc_id")
 
 
+def split_counts_capped(spark, sf_dir):
+    return stats.split_counts(split_documents(spark, sf_dir), caps=CAPS)
+
+
 def quick_sample(spark, sf_dir):
     return splits.quick_sample(split_documents(spark, sf_dir), "doc_id").select("split", "doc_id")
 
@@ -231,8 +236,7 @@ def encode_stream(spark, sf_dir):
     arriving = spark.readStream.schema(schema).option("pathGlobFilter", "documents.parquet")
     path = new_path(spark, "stream")
     query = tokenize_stream(
-        arriving.parquet(sf_dir), tokenizer(spark, sf_dir), "doc_id", path,
-        new_path(spark, "progress"),
+        arriving.parquet(sf_dir), tokenizer(spark, sf_dir), path, new_path(spark, "progress")
     )
     query.awaitTermination()
     return spark.read.parquet(path).select("doc_id", _text("raw_ids"))
@@ -252,11 +256,26 @@ def decode_byte(spark, sf_dir):
 
 
 def _round_trip(spark, sf_dir, kind):
-    texts = split_documents(spark, sf_dir).select("split", "doc_id", "text")
-    decoded = texts.join(_decoded(spark, sf_dir, kind), "doc_id")
+    made = tokenizer(spark, sf_dir, kind)
+    decoded = decoding.with_text(with_ids(split_documents(spark, sf_dir), made), made)
     return _rounded(decoding.round_trip(decoded), "share_same")
 
 
+def encode_specials(spark, sf_dir):
+    """Special tokens inside texts stay whole."""
+    marked = F.concat(F.lit("<|start_of_text|>"), "text", F.lit("<|end_of_text|>"))
+    texts = documents(spark, sf_dir).withColumn("text", marked)
+    made = tokenizer(spark, sf_dir)
+    decoded = decoding.with_text(with_ids(texts, made), made)
+    return decoded.select("doc_id", _text("raw_ids"), "decoded")
+
+
+def stored_names(spark, sf_dir):
+    size = decoding.vocabulary_size(tokenizer(spark, sf_dir))
+    names = (tokenizer_name(size, CHAR_BPE, "v1"), sources.dataset_name("corpus", "v1", size))
+    return spark.createDataFrame([names], "tokenizer string, dataset string")
+
+
 def round_trip(spark, sf_dir):
     return _round_trip(spark, sf_dir, CHAR_BPE)
 
@@ -268,13 +287,13 @@ def round_trip_byte(spark, sf_dir):
 def train_metrics(spark, sf_dir):
     trained = train_on_corpus(
         documents(spark, sf_dir), "doc_id", new_path(spark, "trained"), "v1",
-        vocab_size=VOCAB_SIZE, on_unknown="unk", caps=CAPS,
+        vocab_size=VOCAB_SIZE, on_unknown="unk",
     )
     return _rounded(trained.metrics, *_METRICS)
 
 
 def model_ready_dataset(spark, sf_dir):
-    rows = model_ready(documents(spark, sf_dir), tokenizer(spark, sf_dir), "doc_id", caps=CAPS)
+    rows = model_ready(documents(spark, sf_dir), tokenizer(spark, sf_dir), "doc_id")
     return rows.select(
         "split", "doc_id", "lang", "source", _text("input_ids"), _text("output_ids")
     )
@@ -349,6 +368,7 @@ def all_queries() -> dict[str, Query]:
         "split_exact": split_exact,
         "split_conversations": split_conversations,
         "sample_capped": sample_capped,
+        "split_counts_capped": split_counts_capped,
         "quick_sample": quick_sample,
         "random_example": random_example,
         "model_sequences": model_sequences,
@@ -377,6 +397,8 @@ def all_queries() -> dict[str, Query]:
         "encode_byte": encode_byte,
         "encode_benchmark": encode_benchmark,
         "encode_stream": encode_stream,
+        "encode_specials": encode_specials,
+        "stored_names": stored_names,
         "decode": decode_char,
         "decode_byte": decode_byte,
         "round_trip": round_trip,

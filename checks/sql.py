@@ -257,7 +257,6 @@ LOG = """WITH log AS (
 
 
 def oracle() -> dict[str, str]:
-    short = "(SELECT * FROM documents WHERE length(text) < 1500)"
     held_out = "(SELECT item_id AS doc_id, text FROM benchmark)"
     byte_decoded = "CASE WHEN text LIKE ' %' OR text = '' THEN text ELSE ' ' || text END"
     return {
@@ -269,6 +268,11 @@ def oracle() -> dict[str, str]:
         "split_conversations": f"""WITH {split_cte('conversations', 'conv_id, turn')}
             SELECT conv_id, turn, split FROM split_docs""",
         "sample_capped": f"WITH {PREPARED} SELECT split, doc_id FROM prepared",
+        "split_counts_capped": f"""WITH {split_cte()}
+            SELECT split, count(*) AS n_rows, count(*) FILTER (text IS NULL) AS n_null,
+                   count(*) FILTER (length(text) < 1500) AS n_kept,
+                   least(count(*) FILTER (length(text) < 1500), CASE split WHEN 'train' THEN 300 ELSE 80 END) AS n_capped
+            FROM split_docs GROUP BY split""",
         "quick_sample": f"""WITH {split_cte()}
             SELECT split, doc_id FROM (
               SELECT *, row_number() OVER (PARTITION BY split ORDER BY md5('123|' || doc_id), doc_id) AS place
@@ -321,21 +325,26 @@ def oracle() -> dict[str, str]:
         "encode": f"{encoded('char')} {ENCODED}",
         "encode_byte": f"{encoded('byte')} {ENCODED}",
         "encode_benchmark": f"{encoded('char', held_out)} {ENCODED}",
-        "encode_stream": f"{encoded('char', short)} {ENCODED}",
+        "encode_stream": f"{encoded('char')} {ENCODED}",
+        "encode_specials": f"""{encoded('char')}
+            SELECT doc_id, {_text('list_prepend(1, list_append(raw_ids, 2))')} AS raw_ids, {DECODED_CHAR} AS decoded
+            FROM encoded JOIN documents USING (doc_id)""",
+        "stored_names": f"""{trained('char')}
+            SELECT 'vb-' || count(*) || '-char_bpe-v1' AS tokenizer, 'corpus-' || count(*) || '-v1' AS dataset FROM vocab""",
         "decode": f"SELECT doc_id, {DECODED_CHAR} AS decoded FROM documents",
         "decode_byte": f"SELECT doc_id, {byte_decoded} AS decoded FROM documents",
         "round_trip": round_trip_sql(DECODED_CHAR),
         "round_trip_byte": round_trip_sql(byte_decoded),
-        "train_metrics": f"""WITH RECURSIVE {PREPARED},
-            train_texts AS (SELECT * FROM prepared WHERE split = 'train'),
-            {training_cte('char', 'train_texts')}, {encoded_cte('char', 'prepared')},
-            measured AS (SELECT p.split, p.text, e.raw_ids FROM prepared p JOIN encoded e USING (doc_id))
+        "train_metrics": f"""WITH RECURSIVE {split_cte()},
+            train_texts AS (SELECT * FROM split_docs WHERE split = 'train'),
+            {training_cte('char', 'train_texts')}, {encoded_cte('char', 'split_docs')},
+            measured AS (SELECT p.split, p.text, e.raw_ids FROM split_docs p JOIN encoded e USING (doc_id))
             {EVALUATION.format(table='measured')}""",
-        "model_ready": f"""WITH RECURSIVE {PREPARED},
-            {training_cte('char')}, {encoded_cte('char', 'prepared')}
+        "model_ready": f"""WITH RECURSIVE {split_cte()},
+            {training_cte('char')}, {encoded_cte('char', 'split_docs')}
             SELECT p.split, p.doc_id, p.lang, p.source, {_text('e.raw_ids')} AS input_ids,
                    {_text('list_append(e.raw_ids, 2)[2:]')} AS output_ids
-            FROM prepared p JOIN encoded e USING (doc_id)""",
+            FROM split_docs p JOIN encoded e USING (doc_id)""",
         "softmax_scores": f"{SCORES.format(t=0.7)} SELECT vec_id, token_id, round(prob, 6) AS prob FROM soft",
         "topk_candidates": f"{TOP_K.format(t=0.2, k=5)} SELECT vec_id, token_id, round(prob, 6) AS prob FROM kept",
         "topp_candidates": f"{TOP_P.format(t=0.2, p=0.9)} SELECT vec_id, token_id, round(prob, 6) AS prob FROM kept",

@@ -107,14 +107,16 @@ def draw(candidates: Column, u: Column) -> Column:
 
 
 def negative_log_likelihood(scores: Column, target: Column) -> Column:
-    """``logsumexp(scores) - scores[target]`` for one position."""
+    """``logsumexp(scores) - scores[target]`` for one position; a target that is no token is an error."""
 
     def loss(given: Column) -> Column:
         return once(
             F.array_max(given),
             lambda top: top
             + F.log(F.aggregate(given, F.lit(0.0), lambda acc, s: acc + F.exp(s - top)))
-            - F.get(given, target),
+            - F.when((target >= 0) & (target < F.size(given)), F.get(given, target)).otherwise(
+                F.raise_error(F.concat(F.lit("not a token: "), F.coalesce(target.cast("string"), F.lit("null")))).cast("double")
+            ),
         )
 
     return once(scaled(scores), loss)

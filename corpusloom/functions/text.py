@@ -52,7 +52,7 @@ SPACES = (
 
 def check_kind(kind: str) -> str:
     if kind not in KINDS:
-        raise ValueError(f"Unsupported tokenizer type: {kind}")
+        raise ValueError(f"no such kind of tokenizer: {kind!r}; there are {', '.join(KINDS)}")
     return kind
 
 
@@ -110,6 +110,11 @@ def _byte_characters() -> list[int]:
     return [b if stays[b] else next(moved) for b in range(256)]
 
 
+def shown_bytes() -> list[str]:
+    """The printable character for each byte."""
+    return [chr(c) for c in _byte_characters()]
+
+
 _MOVED = [(chr(b), chr(c)) for b, c in enumerate(_byte_characters()) if b != c]
 _RAW = "".join(raw for raw, _ in _MOVED)
 _SHOWN = "".join(shown for _, shown in _MOVED)

@@ -2,9 +2,9 @@
 
 A word is a string in which one character stands for one symbol, so applying a
 merge is ``replace(word, pair, new_symbol)`` and counting pairs is counting
-two-character substrings. The word table stays on the executors. A round brings
+two-character substrings. Words and counts of three adjacent symbols are kept as tables. A round brings
 back the best pairs and what stands next to them, never more than ``_LISTED``
-pairs, and takes every merge whose turn is certain from that.
+pairs, takes every merge whose turn is certain from that, and counts again only the words it changes.
 """
 
 from __future__ import annotations
@@ -17,18 +17,18 @@ from pyspark.sql import Column, DataFrame, Row, functions as F
 
 from corpusloom.functions.text import CHAR_BPE, SPECIAL_TOKENS, WORD_SUFFIX, check_kind
 from corpusloom.operators.words import word_counts
-from corpusloom.shared import through_table
+from corpusloom.shared import new_path, remove_path, temporary_tables, through_table
 from corpusloom.sources.tokenizers import MERGES_SCHEMA, VOCAB_SCHEMA, Tokenizer
 
-# Vocabulary size if none is given, and alphabet limit of the character kind.
+# Vocabulary size, and least count of a pair for the character kind, if none is given.
 VOCAB_SIZE = 30_000
-ALPHABET_LIMIT = 1_000
+MIN_FREQUENCY = 2
 
 # Stands for the end of a word; no symbol is code point 0.
 _END = "\0"
 # Pairs listed in a round, and merges replayed before the word table is written anew.
 _LISTED = 256
-_REPLAYED = 16
+_REPLAYED = 64
 # Words in a partition of the word table, at most.
 _WORDS_A_TASK = 1_000_000
 
@@ -109,17 +109,21 @@ def _quoted(text: str) -> str:
     return "'" + "".join(f"\\U{ord(c):08X}" for c in text) + "'"
 
 
-def _replay(words: DataFrame, merges: Sequence[tuple[str, str]]) -> DataFrame:
-    """Apply merges, oldest first; words of one symbol have no pairs left."""
+def _respelled(column: str, merges: Sequence[tuple[str, str]]) -> Column:
+    """A word after merges, oldest first."""
     if not merges:
-        return words
+        return F.col(column)
     steps = ", ".join(
         f"named_struct('pair', {_quoted(pair)}, 'new', {_quoted(new)})" for pair, new in merges
     )
-    spelled = F.expr(
-        f"aggregate(array({steps}), word, (w, step) -> replace(w, step.pair, step.new))"
+    return F.expr(
+        f"aggregate(array({steps}), {column}, (w, step) -> replace(w, step.pair, step.new))"
     )
-    return words.select("n", spelled.alias("word")).where(F.length("word") > 1)
+
+
+def _replay(words: DataFrame, merges: Sequence[tuple[str, str]]) -> DataFrame:
+    """Apply merges; words of one symbol have no pairs left."""
+    return words.select("n", _respelled("word", merges).alias("word")).where(F.length("word") > 1)
 
 
 def _triples(words: DataFrame) -> DataFrame:
@@ -138,6 +142,18 @@ def _triples(words: DataFrame) -> DataFrame:
     )
 
 
+def _recounted(triples: DataFrame, words: DataFrame, replayed: Sequence[tuple[str, str]],
+               taken: Sequence[tuple[str, str]]) -> DataFrame:
+    """Triple counts after the ``taken`` merges: only words that hold one of them are counted again."""
+    before = words.select("n", _respelled("word", replayed).alias("old"))
+    changed = before.withColumn("new", _respelled("old", taken)).where("old <> new")
+    both = changed.select(F.explode(F.array(
+        F.struct((-F.col("n")).alias("n"), F.col("old").alias("word")), F.struct("n", F.col("new").alias("word"))
+    )).alias("w")).select("w.n", "w.word")
+    whole = triples.unionByName(_triples(both))
+    return whole.groupBy("three").agg(F.sum("count").alias("count")).where("count <> 0")
+
+
 def _best_pairs(triples: DataFrame) -> list[Row]:
     """The most frequent pairs: count down, then left id and right id up."""
     return (
@@ -231,6 +247,13 @@ def _certain_merges(best: list[Row], around: list[Row], vocab: Vocabulary, room:
     return taken
 
 
+def _stored(df: DataFrame, name: str) -> tuple[DataFrame, str]:
+    """A written table, and its path, to remove it once there is a newer one."""
+    spark, path = df.sparkSession, new_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path), path
+
+
 def train_bpe(
     df: DataFrame,
     kind: str = CHAR_BPE,
@@ -238,22 +261,34 @@ def train_bpe(
     min_frequency: int | None = 2,
     special_tokens: Sequence[str] = SPECIAL_TOKENS,
     text_column: str = "text",
+    limit_alphabet: int | None = None,
 ) -> Tokenizer:
     """Learn a vocabulary and its merges from a table of texts.
 
     Merges are taken by count, then left id, then right id, until the vocabulary
-    is full or no pair reaches ``min_frequency``.
+    is full or no pair reaches ``min_frequency``; None stands for 2 for the character kind, and for any
+    count for the byte-level kind. With ``limit_alphabet`` only so many characters are kept, the
+    most frequent, and others vanish; unlike in the public library, the default keeps all, so that
+    every trained text can be encoded. A vocabulary holds at most 1,112,063 tokens.
     """
     check_kind(kind)
+    least = min_frequency
+    if least is None:
+        least = MIN_FREQUENCY if kind == CHAR_BPE else 0
+    with temporary_tables(df.sparkSession):
+        return _train(df, kind, VOCAB_SIZE if vocab_size is None else vocab_size, least, special_tokens,
+                      text_column, limit_alphabet)
+
+
+def _train(df: DataFrame, kind: str, size: int, least: int, special_tokens: Sequence[str], text_column: str,
+           limit_alphabet: int | None) -> Tokenizer:
     spark = df.sparkSession
-    size = VOCAB_SIZE if vocab_size is None else vocab_size
-    least = min_frequency or 0
     counts = through_table(word_counts(df, kind, text_column), "words")
 
     vocab = Vocabulary()
     for token in special_tokens:
         vocab.add(token)
-    kept, dropped = _alphabet(counts, ALPHABET_LIMIT if kind == CHAR_BPE else None)
+    kept, dropped = _alphabet(counts, limit_alphabet if kind == CHAR_BPE else None)
     for letter in kept:
         vocab.add(letter)
     endings: list[str] = []
@@ -265,22 +300,23 @@ def train_bpe(
     n_words = counts.count()
     tasks = max(spark.sparkContext.defaultParallelism, -(-n_words // _WORDS_A_TASK))
     words = counts.repartition(tasks).select("n", spelled.alias("word"))
-    words = through_table(words.where(F.length("word") > 1), "symbols")
+    words, words_path = _stored(words.where(F.length("word") > 1), "symbols")
+    triples, triples_path = _stored(_triples(words), "triples")
     replayed: list[tuple[str, str]] = []
     while len(vocab.tokens) < size:
-        # Kept for two small jobs; what a lost executor held is counted again.
-        triples = _triples(_replay(words, replayed)).persist()
         best = _best_pairs(triples)
         if not best or best[0]["count"] < max(least, 1):
-            triples.unpersist()
             break
         around = _surroundings(triples, [r["pair"] for r in best])
-        triples.unpersist()
         taken = _certain_merges(best, around, vocab, size - len(vocab.tokens), least)
+        newer, newer_path = _stored(_recounted(triples, words, replayed, taken), "triples")
+        remove_path(spark, triples_path)
+        triples, triples_path = newer, newer_path
         replayed += taken
         if len(replayed) >= _REPLAYED:
-            words = through_table(_replay(words, replayed), "symbols")
-            replayed = []
+            newer, newer_path = _stored(_replay(words, replayed), "symbols")
+            remove_path(spark, words_path)
+            words, words_path, replayed = newer, newer_path, []
 
     vocab_rows = [(t, i, t in special_tokens) for i, t in enumerate(vocab.tokens)]
     merge_rows = [(i, *m) for i, m in enumerate(vocab.merges)]

@@ -2,17 +2,43 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import json
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from corpusloom.functions.ordering import as_keys
 from corpusloom.functions.text import strip_spaces, tokens_to_text
-from corpusloom.shared import task_count
 from corpusloom.sources.tokenizers import Tokenizer
 
 # Tokens sent to every executor, at most: no vocabulary can be larger.
-_MAX_TOKENS = 1_112_063
+MAX_TOKENS = 1_112_063
+
+
+def decoder(tokenizer: Tokenizer) -> Callable[[Column], Column]:
+    """A function from a column of ids to texts; special tokens and unknown ids are left out.
+
+    Tokens are looked up in one array, which is sent to every executor once; a vocabulary of more than
+    ``MAX_TOKENS`` tokens is refused. Null ids give a null text.
+    """
+    ordinary = tokenizer.vocab.where("not is_special").select("id", "token")
+    if ordinary.count() > MAX_TOKENS or (ordinary.agg(F.max("id")).first()[0] or 0) > MAX_TOKENS:
+        raise ValueError(f"a vocabulary holds at most {MAX_TOKENS} tokens")
+    by_id = {r["id"]: r["token"] for r in ordinary.collect()}
+    tokens = [by_id.get(i) for i in range(max(by_id, default=-1) + 1)]
+    # One literal, made from one string: far cheaper than a literal for each token.
+    listed = F.from_json(F.lit(json.dumps(tokens)), F.lit("array<string>"))
+
+    def of(ids: Column) -> Column:
+        known = F.transform(ids, lambda i: F.when(i >= 0, F.get(listed, i)))
+        return tokens_to_text(F.filter(known, lambda t: t.isNotNull()), tokenizer.kind)
+
+    return of
+
+
+def with_text(df: DataFrame, tokenizer: Tokenizer, ids_column: str = "raw_ids") -> DataFrame:
+    """All columns, and ``decoded``; nothing is moved."""
+    return df.withColumn("decoded", decoder(tokenizer)(F.col(ids_column)))
 
 
 def decode(
@@ -21,25 +47,9 @@ def decode(
     key: str | Sequence[str],
     ids_column: str = "raw_ids",
 ) -> DataFrame:
-    """Rows ``(*key, decoded)``, one for each row of ``df``; special tokens are left out.
-
-    Ids cross the network once, and not at all if they are already spread by key.
-    """
-    keys = as_keys(key)
-    if tokenizer.vocab.count() > _MAX_TOKENS:
-        raise ValueError(f"a vocabulary holds at most {_MAX_TOKENS} tokens")
-    words = F.broadcast(tokenizer.vocab.where("not is_special").select("id", "token"))
-    token = F.when(F.col("token").isNotNull(), F.struct("pos", "token"))
-    tokens = F.transform(F.array_sort(F.collect_list(token)), lambda t: t["token"])
-    return (
-        df.select(*keys, ids_column)
-        .repartition(task_count(df.sparkSession), *keys)
-        .select(*keys, F.posexplode_outer(ids_column).alias("pos", "id"))
-        .join(words, "id", "left")
-        .groupBy(*keys)
-        .agg(tokens.alias("_tokens"))
-        .select(*keys, tokens_to_text(F.col("_tokens"), tokenizer.kind).alias("decoded"))
-    )
+    """Rows ``(*key, decoded)``, one for each row of ``df``; keys may be null or repeated."""
+    text = decoder(tokenizer)(F.col(ids_column))
+    return df.select(*as_keys(key), text.alias("decoded"))
 
 
 def round_trip(df: DataFrame, text_column: str = "text") -> DataFrame:

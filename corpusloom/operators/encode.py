@@ -1,9 +1,8 @@
-"""Encode texts through a dictionary of their distinct words.
+"""Encode texts in one pass, without moving them.
 
-Words repeat, so each distinct word is segmented once, in parallel, and the texts
-look their words up by a join. The join needs no guess about hot words: the
-frequent words are broadcast, as far as a size limit allows, and the others are
-rare by construction and joined by shuffle.
+Words are cut out by Spark's own functions. The ids of a batch's words are worked out next to
+the rows: each distinct word once, by merge rules that every executor has. No key, no
+join and no shuffle, so null and repeated keys do no harm, and a stream is encoded like a table.
 """
 
 from __future__ import annotations
@@ -16,28 +15,27 @@ from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, functions as F
 
 from corpusloom.functions.ordering import as_keys
-from corpusloom.functions.text import CHAR_BPE, WORD_SUFFIX, encoding_words, word_symbols
-from corpusloom.shared import task_count, through_table
+from corpusloom.functions.text import BYTE_BPE, CHAR_BPE, WORD_SUFFIX, encoding_words, shown_bytes
 from corpusloom.sources.tokenizers import Tokenizer
 
 # Fixed value: the token for what the vocabulary lacks.
 UNKNOWN_TOKEN = "<|unk|>"
 
-# Dictionary rows sent to every executor, at most, and their bytes.
-BROADCAST_WORDS = 1_000_000
-BROADCAST_BYTES = 128 * 1024 * 1024
-# Merges and tokens sent to every executor, at most.
-_MAX_RULES = 2_000_000
+# Merges and tokens sent to every executor, at most; a tokenizer has no more than 1,112,063 tokens.
+MAX_RULES = 2_000_000
+# Distinct words that a worker remembers.
+_REMEMBERED = 500_000
+
 
 def _small(df: DataFrame, what: str) -> list:
     """Rows of a tokenizer table, whose size is checked first."""
     rows = df.count()
-    if rows > _MAX_RULES:
-        raise ValueError(f"{rows} {what}: a tokenizer holds at most {_MAX_RULES}")
+    if rows > MAX_RULES:
+        raise ValueError(f"{rows} {what}: a tokenizer holds at most {MAX_RULES}")
     return df.collect()
 
 
-def _segmenter(rules: Broadcast, suffix: str) -> Callable:
+def _segmenter(rules: Broadcast, suffix: str, shown: list[str] | None) -> Callable:
     """The function that runs in the tasks; nested, so that it travels without this package."""
 
     def merge_short(ids: list[int], merges: dict) -> list[int]:
@@ -80,31 +78,44 @@ def _segmenter(rules: Broadcast, suffix: str) -> Callable:
             offer(at)
         return [i for i in ids if i is not None]
 
-    def pieces(word: str, shown: str) -> list[int]:
+    def pieces(word: str) -> list[int]:
         ids, special, merges, unknown = rules.value
         if word in special:
             return special[word]
-        letters = [*shown[:-1], shown[-1:] + suffix]
+        letters = list(word) if shown is None else [shown[b] for b in word.encode()]
+        letters[-1] += suffix
         found = [ids.get(letter, unknown) for letter in letters]
         if None in found:
             raise ValueError(f"not in the vocabulary: {letters[found.index(None)]!r} of {word!r}")
         return merge_short(found, merges) if len(found) < 64 else merge_long(found, merges)
 
-    def segment(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def segment(batches):
+        known: dict[str, list[int]] = {}
         for batch in batches:
-            batch["ids"] = [pieces(w, s) for w, s in zip(batch["word"], batch["_shown"])]
-            yield batch.drop(columns="_shown")
-
+            found = []
+            for words in batch:
+                ids: list[int] = []
+                for word in words if words is not None else ():
+                    of_word = known.get(word)
+                    if of_word is None:
+                        if len(known) >= _REMEMBERED:
+                            known.clear()
+                        of_word = known[word] = pieces(word)
+                    ids += of_word
+                found.append(ids)
+            yield pd.Series(found, dtype=object)
+
+    # Where annotations are strings, as here, Spark would not know what they mean.
+    segment.__annotations__ = {"batches": Iterator[pd.Series], "return": Iterator[pd.Series]}
     return segment
 
 
-def segment_words(
-    words: DataFrame, tokenizer: Tokenizer, on_unknown: str | None = None
-) -> DataFrame:
-    """Add ``ids`` to distinct words.
+def encoder(tokenizer: Tokenizer, on_unknown: str | None = None) -> Callable[[Column], Column]:
+    """A function from a text column to its ids; the tokenizer's tables are read at once.
 
     ``on_unknown`` is ``"error"`` or ``"unk"``; the default is an error for the
-    character kind and the unknown token for the byte-level kind.
+    character kind and the unknown token for the byte-level kind. A null text has no ids. A
+    tokenizer of more than ``MAX_RULES`` merges or tokens is refused.
     """
     kind = tokenizer.kind
     on_unknown = on_unknown or ("error" if kind == CHAR_BPE else "unk")
@@ -118,47 +129,22 @@ def segment_words(
         for r in sorted(_small(tokenizer.merges, "merges"), key=lambda r: r["rank"])
     }
     unknown = ids.get(UNKNOWN_TOKEN) if on_unknown == "unk" else None
-    rules = words.sparkSession.sparkContext.broadcast((ids, special, merges, unknown))
-    spread = words.repartition(task_count(words.sparkSession))
-    shown = spread.withColumn("_shown", word_symbols(F.col("word"), kind))
-    schema = ", ".join(f"`{n}` {t}" for n, t in words.dtypes)
+    rules = tokenizer.vocab.sparkSession.sparkContext.broadcast((ids, special, merges, unknown))
     suffix = WORD_SUFFIX if kind == CHAR_BPE else ""
-    return shown.mapInPandas(_segmenter(rules, suffix), f"{schema}, ids array<int>")
+    shown = shown_bytes() if kind == BYTE_BPE else None
+    segment = F.pandas_udf(_segmenter(rules, suffix, shown), "array<int>")
 
+    def of(text: Column) -> Column:
+        return segment(encoding_words(text, kind, list(special)))
 
-def _split_dictionary(
-    dictionary: DataFrame, max_words: int, max_bytes: int
-) -> tuple[DataFrame, DataFrame | None]:
-    """The words to broadcast, and the others if there are any.
+    return of
 
-    Words are taken by powers of two of their count, the most frequent first, while
-    the limits hold. What is left is then rare: none of it can be a hot key.
-    """
-    power = F.floor(F.log2("n")).cast("int")
-    size = F.octet_length("word") + 4 * F.size("ids") + 64
-    # At most 63 rows, as counts are longs.
-    steps = (
-        dictionary.groupBy(power.alias("power"))
-        .agg(F.count(F.lit(1)).alias("words"), F.sum(size).alias("bytes"))
-        .orderBy(F.desc("power"))
-        .collect()
-    )
-    words = size_so_far = 0
-    least = None
-    for step in steps:
-        words += step["words"]
-        size_so_far += step["bytes"]
-        if words > max_words or size_so_far > max_bytes:
-            break
-        least = step["power"]
-    else:
-        return dictionary, None
-    frequent = F.lit(False) if least is None else power >= least
-    return dictionary.where(frequent), dictionary.where(~frequent)
-
-
-def _in_order(pieces: Column) -> Column:
-    return F.flatten(F.transform(F.array_sort(pieces), lambda p: p["ids"]))
+
+def with_ids(
+    df: DataFrame, tokenizer: Tokenizer, text_column: str = "text", on_unknown: str | None = None
+) -> DataFrame:
+    """All columns, and ``raw_ids``. ``df`` may be a stream."""
+    return df.withColumn("raw_ids", encoder(tokenizer, on_unknown)(F.col(text_column)))
 
 
 def encode(
@@ -167,43 +153,7 @@ def encode(
     key: str | Sequence[str],
     text_column: str = "text",
     on_unknown: str | None = None,
-    broadcast_words: int = BROADCAST_WORDS,
-    broadcast_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
-    """Rows ``(*key, raw_ids)``, one for each row of ``df``; ``key`` must be unique.
-
-    The dictionary is built at once; the result is lazy. Texts cross the network
-    once, to bring the pieces of a text together, and again if rare words remain.
-    """
-    keys = as_keys(key)
-    special = [r["token"] for r in _small(tokenizer.vocab.where("is_special"), "tokens")]
-    words = encoding_words(F.col(text_column), tokenizer.kind, special)
-    counts = (
-        df.select(F.explode(words).alias("word"))
-        .groupBy("word")
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
-    dictionary = through_table(segment_words(counts, tokenizer, on_unknown), "dictionary")
-    frequent, rare = _split_dictionary(dictionary, broadcast_words, broadcast_bytes)
-    frequent = F.broadcast(frequent.select("word", "ids"))
-
-    by_key = df.select(*keys, text_column).repartition(task_count(df.sparkSession), *keys)
-    placed = by_key.select(*keys, F.posexplode_outer(words).alias("pos", "word"))
-    piece = F.when(F.col("ids").isNotNull(), F.struct("pos", "ids"))
-    found = (
-        placed.join(frequent, "word", "left")
-        .groupBy(*keys)
-        .agg(F.collect_list(piece).alias("_pieces"))
-    )
-    if rare is None:
-        return found.select(*keys, _in_order(F.col("_pieces")).alias("raw_ids"))
-    others = (
-        placed.where("word is not null")
-        .join(frequent.select("word"), "word", "left_anti")
-        .join(rare.select("word", "ids"), "word")
-        .groupBy(*keys)
-        .agg(F.collect_list(F.struct("pos", "ids")).alias("_others"))
-    )
-    no_pieces = F.array().cast("array<struct<pos:int,ids:array<int>>>")
-    pieces = F.concat("_pieces", F.coalesce(F.col("_others"), no_pieces))
-    return found.join(others, keys, "left").select(*keys, _in_order(pieces).alias("raw_ids"))
+    """Rows ``(*key, raw_ids)``, one for each row of ``df``; keys may be null or repeated."""
+    ids = encoder(tokenizer, on_unknown)(F.col(text_column))
+    return df.select(*as_keys(key), ids.alias("raw_ids"))

@@ -8,6 +8,8 @@ from corpusloom.operators.splits import TRAIN, VALIDATION
 
 # Consecutive batch numbers that are summed in one task.
 CHUNK = 1_000_000
+# Runs and splits of one log, at most.
+MAX_RUNS = 1_000_000
 
 
 def epoch_losses(log: DataFrame) -> DataFrame:
@@ -63,7 +65,11 @@ def running_loss(log: DataFrame, chunk: int = CHUNK) -> DataFrame:
 def with_global_step(log: DataFrame, batches: DataFrame) -> DataFrame:
     """Add ``step``: full epochs times batches per epoch, plus the batch number.
 
-    ``batches`` has one row ``(run, split, n_batches)`` for each run and split.
+    ``batches`` has one row ``(run, split, n_batches)`` for each run and split; rows of a run and
+    split without one keep a null step. A few runs hold the whole log, so ``batches`` is
+    broadcast, and refused if it has more than ``MAX_RUNS`` rows.
     """
+    if batches.count() > MAX_RUNS:
+        raise ValueError(f"batches holds at most {MAX_RUNS} rows")
     step = (F.col("epoch") - 1) * F.col("n_batches") + F.col("batch_num")
-    return log.join(batches, ["run", "split"]).select(*log.columns, step.alias("step"))
+    return log.join(F.broadcast(batches), ["run", "split"], "left").select(*log.columns, step.alias("step"))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, functions as F
 
@@ -13,7 +14,7 @@ TRAIN = "train"
 VALIDATION = "validation"
 SPLITS = (TRAIN, VALIDATION)
 
-# Defaults of the corpus preparation.
+# Defaults of split and length filter, and the customary caps, for callers that want them.
 SEED = 123
 VALIDATION_SIZE = 0.2
 MAX_TEXT_LENGTH = 1500
@@ -52,7 +53,7 @@ def filter_length(
 def cap_splits(
     df: DataFrame,
     key: str | Sequence[str],
-    caps: Mapping[str, int] = MAX_ROWS,
+    caps: Mapping[str, int],
     seed: object = SEED,
     counted: DataFrame | None = None,
 ) -> DataFrame:
@@ -81,23 +82,32 @@ def quick_sample(
     sizes: Mapping[str, int] | None = None,
     seed: object = SEED,
 ) -> DataFrame:
-    """The first few rows of each split in shuffled order."""
+    """The first few rows of each split in shuffled order.
+
+    Keys are chosen first; only the texts of these few rows are read.
+    """
     sizes = {TRAIN: 10, VALIDATION: 2} if sizes is None else sizes
-    parts = [
-        df.where(F.col("split") == split)
-        .orderBy(order_hash(key, seed), *as_keys(key))
-        .limit(size)
-        for split, size in sizes.items()
-    ]
-    sample = parts[0]
-    for part in parts[1:]:
-        sample = sample.unionByName(part)
-    return sample
+    narrow = df.select("split", *as_keys(key))
+    chosen = [_first_rows(narrow.where(F.col("split") == split), key, seed, size) for split, size in sizes.items()]
+    return _rows_of(df, reduce(DataFrame.unionByName, chosen), ["split", *as_keys(key)])
+
+
+def _first_rows(keys: DataFrame, key: str | Sequence[str], seed: object, size: int) -> DataFrame:
+    return keys.orderBy(order_hash(key, seed), *as_keys(key)).limit(size)
+
+
+def _rows_of(df: DataFrame, chosen: DataFrame, columns: list[str]) -> DataFrame:
+    """The rows with one of the few ``chosen`` keys; a null in a key matches a null."""
+    chosen = chosen.withColumnsRenamed({c: f"_{c}" for c in columns})
+    same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in columns])
+    # No more rows than were asked for.
+    return df.join(F.broadcast(chosen), same, "left_semi")
 
 
 def random_example(df: DataFrame, key: str | Sequence[str], seed: object = SEED) -> DataFrame:
-    """One row, picked by the seed."""
-    return df.orderBy(order_hash(key, seed), *as_keys(key)).limit(1)
+    """One row, picked by the seed; only its text is read."""
+    keys = as_keys(key)
+    return _rows_of(df, _first_rows(df.select(*keys), key, seed, 1), keys)
 
 
 def combine_splits(parts: Mapping[str, DataFrame]) -> DataFrame:

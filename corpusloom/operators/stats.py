@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import DataFrame, functions as F
 
 from corpusloom.operators.splits import MAX_TEXT_LENGTH, TRAIN
@@ -11,14 +13,23 @@ TOKENS_PER_PARAMETER = 20
 
 
 def split_counts(
-    df: DataFrame, max_length: int = MAX_TEXT_LENGTH, text_column: str = "text"
+    df: DataFrame,
+    max_length: int = MAX_TEXT_LENGTH,
+    text_column: str = "text",
+    caps: Mapping[str, int] | None = None,
 ) -> DataFrame:
-    """Rows of each split: all, with a null text, and after the length filter."""
-    return df.groupBy("split").agg(
+    """Rows of each split: all, with a null text, after the length filter, and after caps if given."""
+    counts = df.groupBy("split").agg(
         F.count(F.lit(1)).alias("n_rows"),
         F.count_if(F.col(text_column).isNull()).alias("n_null"),
         F.count_if(F.length(text_column) < max_length).alias("n_kept"),
     )
+    if caps is None:
+        return counts
+    capped = F.col("n_kept")
+    for split, cap in caps.items():
+        capped = F.when(F.col("split") == split, F.least("n_kept", F.lit(cap))).otherwise(capped)
+    return counts.withColumn("n_capped", capped.cast("long"))
 
 
 def corpus_characters(df: DataFrame, text_column: str = "text") -> DataFrame:

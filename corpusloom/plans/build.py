@@ -6,12 +6,11 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 
-from corpusloom.functions.ordering import as_keys
 from corpusloom.operators.decode import eot_id, vocabulary_size
-from corpusloom.operators.encode import encode
+from corpusloom.operators.encode import with_ids
 from corpusloom.operators.sequences import model_sequences
 from corpusloom.plans.prepare import prepare_corpus
-from corpusloom.shared import through_table
+from corpusloom.shared import temporary_tables
 from corpusloom.sources.texts import dataset_name, require_splits, write_dataset
 from corpusloom.sources.tokenizers import Tokenizer
 
@@ -19,13 +18,11 @@ from corpusloom.sources.tokenizers import Tokenizer
 def tokenize_corpus(
     df: DataFrame,
     tokenizer: Tokenizer,
-    key: str | Sequence[str],
     text_column: str = "text",
     on_unknown: str | None = None,
 ) -> DataFrame:
-    """All columns, and ``raw_ids``, ``ids``, ``input_ids``, ``output_ids``."""
-    raw_ids = encode(df, tokenizer, key, text_column, on_unknown)
-    return model_sequences(df.join(raw_ids, as_keys(key)), eot_id(tokenizer).first()[0])
+    """All columns, and ``raw_ids``, ``ids``, ``input_ids``, ``output_ids``. ``df`` may be a stream."""
+    return model_sequences(with_ids(df, tokenizer, text_column, on_unknown), eot_id(tokenizer).first()[0])
 
 
 def model_ready(
@@ -36,9 +33,9 @@ def model_ready(
     on_unknown: str | None = None,
     **preparation: object,
 ) -> DataFrame:
-    """Split, filter, cap and tokenize a corpus."""
-    corpus = through_table(prepare_corpus(df, key, text_column, **preparation), "corpus")
-    return tokenize_corpus(require_splits(corpus), tokenizer, key, text_column, on_unknown)
+    """Split and tokenize a corpus; filter and cap it first where ``preparation`` asks for it."""
+    corpus = prepare_corpus(df, key, text_column, **preparation)
+    return tokenize_corpus(require_splits(corpus), tokenizer, text_column, on_unknown)
 
 
 def build_dataset(
@@ -52,5 +49,6 @@ def build_dataset(
 ) -> str:
     """Write the model-ready dataset under a versioned name; returns its path."""
     path = f"{folder}/{dataset_name(name, version, vocabulary_size(tokenizer))}"
-    write_dataset(model_ready(df, tokenizer, key, **options), path)
+    with temporary_tables(df.sparkSession):
+        write_dataset(model_ready(df, tokenizer, key, **options), path)
     return path

@@ -8,8 +8,6 @@ from pyspark.sql import DataFrame, functions as F
 
 from corpusloom.functions.ordering import as_keys
 from corpusloom.operators.splits import (
-    MAX_ROWS,
-    MAX_TEXT_LENGTH,
     SEED,
     VALIDATION_SIZE,
     cap_splits,
@@ -24,21 +22,23 @@ def prepare_corpus(
     key: str | Sequence[str],
     text_column: str = "text",
     validation_size: float = VALIDATION_SIZE,
-    max_length: int = MAX_TEXT_LENGTH,
-    caps: Mapping[str, int] = MAX_ROWS,
+    max_length: int | None = None,
+    caps: Mapping[str, int] | None = None,
     seed: object = SEED,
 ) -> DataFrame:
-    """All columns of the chosen rows, and ``split``.
+    """All columns of the chosen rows, and ``split``. Without ``max_length`` and ``caps``, of all rows.
 
-    The split counts every row, so it comes before the filter; the caps come last.
-    Cutoffs are worked out on keys and lengths, so the texts themselves are read
-    twice and never shuffled.
+    The split counts every row, so it comes before the filter, which also drops null texts; the caps
+    come last. Cutoffs are worked out on keys and lengths, so the texts themselves are never shuffled.
     """
     lengths = df.select(*as_keys(key), F.length(text_column).alias("_length"))
     lengths = through_table(lengths, "lengths")
-    split_lengths = split_train_validation(lengths, key, validation_size, seed)
-    short = split_lengths.where(F.col("_length") < max_length)
-    split_texts = split_train_validation(df, key, validation_size, seed, counted=lengths)
-    return cap_splits(
-        filter_length(split_texts, max_length, text_column), key, caps, seed, counted=short
-    )
+    texts = split_train_validation(df, key, validation_size, seed, counted=lengths)
+    if max_length is not None:
+        texts = filter_length(texts, max_length, text_column)
+    if caps is None:
+        return texts
+    counted = split_train_validation(lengths, key, validation_size, seed)
+    if max_length is not None:
+        counted = counted.where(F.col("_length") < max_length)
+    return cap_splits(texts, key, caps, seed, counted=counted)

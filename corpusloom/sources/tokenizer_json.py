@@ -32,12 +32,65 @@ _STEPS = {
 }
 
 
+# What must be said, or left out, for the ids to be those of the file's own library.
+_PLAIN_MODEL = {"dropout": None, "continuing_subword_prefix": None, "fuse_unk": False, "byte_fallback": False, "ignore_merges": False}
+_UNKNOWN = (None, "<unk>", "<|unk|>")
+
+
+def _refuse(what: str, found: object) -> None:
+    raise ValueError(f"tokenizer file: {what} is {found!r}, which is not supported")
+
+
+def _supported_kind(spec: dict[str, object]) -> str:
+    """The kind that a file describes; a clear error for anything that would give other ids."""
+    model, suffix = spec["model"], spec["model"].get("end_of_word_suffix")
+    if model.get("type") not in (None, "BPE"):
+        _refuse("model.type", model["type"])
+    if suffix not in (None, "", WORD_SUFFIX):
+        _refuse("model.end_of_word_suffix", suffix)
+    for name, plain in _PLAIN_MODEL.items():
+        if (model.get(name) or None) != (plain or None):
+            _refuse(f"model.{name}", model[name])
+    if model.get("unk_token") not in _UNKNOWN:
+        _refuse("model.unk_token", model["unk_token"])
+    kind = CHAR_BPE if suffix else BYTE_BPE
+    for step in ("normalizer", "pre_tokenizer"):
+        wanted, found = _STEPS[kind][step], spec[step]
+        if wanted is None and found is None:
+            continue
+        if wanted is None or found is None or found.get("type") != wanted["type"]:
+            _refuse(step, found and found.get("type"))
+        for name, value in wanted.items():
+            # Where offsets are trimmed, ids stay the same; options left out have these values.
+            if name != "trim_offsets" and (found.get(name, value) or None) != (value or None):
+                _refuse(f"{step}.{name}", found[name])
+    return kind
+
+
+def _described(files: DataFrame) -> dict[str, object]:
+    """The file's steps and its model's options, without the vocabulary."""
+    options = ["type", "end_of_word_suffix", "unk_token", *_PLAIN_MODEL]
+    paths = ["$.normalizer", "$.pre_tokenizer", *[f"$.model.{name}" for name in options]]
+    row = files.select(*[F.get_json_object("value", p).alias(f"c{i}") for i, p in enumerate(paths)]).first()
+    if row is None:
+        raise ValueError("tokenizer file: nothing to read")
+
+    def plain(text: str | None) -> object:
+        return {"true": True, "false": False}.get(text, text)
+
+    model = {name: plain(text) for name, text in zip(options, row[2:], strict=True)}
+    return {"normalizer": row[0] and json.loads(row[0]), "pre_tokenizer": row[1] and json.loads(row[1]), "model": model}
+
+
 def read_tokenizer_json(spark: SparkSession, path: str) -> Tokenizer:
-    """A tokenizer file; its merges are pairs or, in older files, words with a space."""
-    parsed = spark.read.text(path, wholetext=True).select(
-        F.from_json("value", _SCHEMA).alias("t")
-    )
-    suffix = parsed.select("t.model.end_of_word_suffix").first()[0]
+    """A tokenizer file; its merges are pairs or, in older files, words with a space.
+
+    Files of the two kinds that this library trains are read: byte-level with a leading space, and
+    characters with a word suffix. Any other model, normaliser, pre-tokenizer or unknown token is refused.
+    """
+    files = spark.read.text(path, wholetext=True)
+    kind = _supported_kind(_described(files))
+    parsed = files.select(F.from_json("value", _SCHEMA).alias("t"))
     added = parsed.select(F.explode("t.added_tokens").alias("a")).select(
         F.col("a.content").alias("token"), F.col("a.id").alias("id"), F.col("a.special").alias("s")
     )
@@ -61,7 +114,7 @@ def read_tokenizer_json(spark: SparkSession, path: str) -> Tokenizer:
             F.concat(F.col("pair")[0], F.col("pair")[1]).alias("new_token"),
         )
     )
-    return Tokenizer(CHAR_BPE if suffix else BYTE_BPE, vocab, merges)
+    return Tokenizer(kind, vocab, merges)
 
 
 def tokenizer_json(tokenizer: Tokenizer) -> DataFrame:

@@ -1,13 +1,11 @@
-"""Filter and tokenize a stream of texts."""
+"""Tokenize a stream of texts."""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
-from corpusloom.operators.splits import MAX_TEXT_LENGTH, filter_length
+from corpusloom.operators.splits import filter_length
 from corpusloom.plans.build import tokenize_corpus
 from corpusloom.sources.tokenizers import Tokenizer
 
@@ -15,26 +13,22 @@ from corpusloom.sources.tokenizers import Tokenizer
 def tokenize_stream(
     texts: DataFrame,
     tokenizer: Tokenizer,
-    key: str | Sequence[str],
     path: str,
     checkpoint: str,
     text_column: str = "text",
-    max_length: int = MAX_TEXT_LENGTH,
+    max_length: int | None = None,
     on_unknown: str | None = None,
 ) -> StreamingQuery:
-    """Write the model-ready rows of each micro-batch to ``path/batch=N``.
+    """Write the model-ready rows of a stream to ``path``, each text once.
 
-    A batch that is repeated after a failure replaces its folder, so every text is
-    there once. The query ends when all texts at hand are done.
+    Only texts shorter than ``max_length`` if it is given. The query ends when all texts at hand are done.
     """
-
-    def write(batch: DataFrame, batch_id: int) -> None:
-        short = filter_length(batch, max_length, text_column)
-        rows = tokenize_corpus(short, tokenizer, key, text_column, on_unknown)
-        rows.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
-
+    if max_length is not None:
+        texts = filter_length(texts, max_length, text_column)
     return (
-        texts.writeStream.foreachBatch(write)
+        tokenize_corpus(texts, tokenizer, text_column, on_unknown)
+        .writeStream.format("parquet")
+        .option("path", path)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()

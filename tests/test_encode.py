@@ -4,11 +4,11 @@ from pyspark.sql import functions as F
 
 from corpusloom.functions.text import BYTE_BPE, CHAR_BPE, SPECIAL_TOKENS
 from corpusloom.operators.bpe import train_bpe
-from corpusloom.operators.decode import decode, eot_id, round_trip, special_entries, token_ids
-from corpusloom.operators.encode import encode
+from corpusloom.operators.decode import decode, eot_id, round_trip, special_entries, token_ids, with_text
+from corpusloom.operators.encode import encode, with_ids
 from corpusloom.sources.tokenizers import Tokenizer
 
-SAMPLE = "Once upon a time there was a girl named Lily. <|end_of_text|><|pad|><|pad|><|pad|>"
+SAMPLE = "The heron waits, still as a post.<|end_of_text|> <|pad|>A fish<|unk|> <|pad|><|pad|>"
 
 
 @pytest.fixture(scope="module")
@@ -49,17 +49,10 @@ def test_ids_and_texts_equal_the_public_library(spark, documents, trained, kind)
     assert decoded == {k: made.decode(ids) for k, ids in expected.items()}
 
 
-@pytest.mark.parametrize("limits", [{"broadcast_words": 0}, {"broadcast_words": 50}, {"broadcast_bytes": 4000}])
-def test_rare_words_by_shuffle_give_the_same(documents, trained, limits):
-    whole = encode(documents, trained[CHAR_BPE], "doc_id")
-    parted = encode(documents, trained[CHAR_BPE], "doc_id", **limits)
-    assert ids_of(parted) == ids_of(whole)
-
-
 def test_unknown_characters(spark, trained):
     texts = spark.createDataFrame([(1, "a 中")], "doc_id long, text string")
     with pytest.raises(PythonException, match="not in the vocabulary"):
-        encode(texts, trained[CHAR_BPE], "doc_id")
+        encode(texts, trained[CHAR_BPE], "doc_id").collect()
     assert ids_of(encode(texts, trained[CHAR_BPE], "doc_id", on_unknown="unk"))[1][-1] == 3
     bytes_never_seen = spark.createDataFrame([(1, "\x01\x02")], "doc_id long, text string")
     assert ids_of(encode(bytes_never_seen, trained[BYTE_BPE], "doc_id"))[1][1:] == [3, 3]
@@ -118,6 +111,26 @@ def test_decode_skips_special_and_absent_ids(spark, trained):
     assert got == {1: "", 2: ""}
 
 
-def test_text_crosses_the_network_once(documents, trained):
-    plan = encode(documents, trained[CHAR_BPE], "doc_id")._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("Exchange hashpartitioning") == 1 and plan.count("BroadcastHashJoin") == 1
+@pytest.mark.parametrize("kind", [CHAR_BPE, BYTE_BPE])
+def test_nothing_is_moved(documents, trained, kind):
+    rows = with_text(with_ids(documents, trained[kind]), trained[kind])
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Join" not in plan
+
+
+@pytest.mark.parametrize("name", ["id", "word", "pos", "ids", "token", "rank", "n", "raw"])
+def test_null_and_repeated_keys_of_any_name_keep_every_row(spark, trained, name):
+    rows = [(1, "the cat"), (1, "a cat"), (None, "the cat"), (None, None), (2, "")]
+    texts = spark.createDataFrame(rows, f"{name} long, text string")
+    ids = encode(texts, trained[BYTE_BPE], name)
+    decoded = decode(ids, trained[BYTE_BPE], name).collect()
+    expected = [(i, " " + t if t else "") for i, t in rows]
+    assert sorted(map(str, map(tuple, decoded))) == sorted(map(str, expected))
+    kept = with_ids(texts, trained[BYTE_BPE])
+    assert kept.columns == [name, "text", "raw_ids"] and kept.count() == 5
+
+
+def test_a_text_of_many_characters_trains_and_encodes_itself(spark):
+    texts = spark.createDataFrame([(1, "".join(chr(0x4E00 + i) for i in range(1_100)))], "doc_id long, text string")
+    made = train_bpe(texts, CHAR_BPE)
+    assert len(ids_of(encode(texts, made, "doc_id"))[1]) == 1_100

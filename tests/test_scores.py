@@ -83,3 +83,17 @@ def test_global_step(spark):
     log = spark.createDataFrame([("r", 1, "train", 2, 0.0), ("r", 3, "train", 1, 0.0)], LOG)
     batches = spark.createDataFrame([("r", "train", 10)], "run string, split string, n_batches long")
     assert sorted(r.step for r in with_global_step(log, batches).collect()) == [2, 21]
+
+
+def test_global_step_keeps_rows_without_batches(spark):
+    log = spark.createDataFrame([("r", 1, "train", 2, 0.0), ("r", 1, "test", 1, 0.0), (None, 1, "train", 1, 0.0)], LOG)
+    batches = spark.createDataFrame([("r", "train", 10)], "run string, split string, n_batches long")
+    rows = with_global_step(log, batches).collect()
+    assert sorted(((r.split, r.step) for r in rows), key=str) == [("test", None), ("train", 2), ("train", None)]
+
+
+@pytest.mark.parametrize("target", [5, -1, None])
+def test_a_target_that_is_no_token_is_an_error(spark, target):
+    rows = spark.createDataFrame([(1, [0.1, 0.2], 0), (2, [0.1, 0.2], target)], "seq_id int, scores array<double>, target int")
+    with pytest.raises(Exception, match="not a token"):
+        cross_entropy(rows).collect()

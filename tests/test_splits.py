@@ -104,11 +104,14 @@ def test_counts_and_characters(spark):
                                  "split string, text string")
     got = {r.split: (r.n_rows, r.n_null, r.n_kept) for r in split_counts(rows, 4).collect()}
     assert got == {"train": (2, 1, 1), "validation": (1, 0, 0)}
+    capped = split_counts(rows, 4, caps={"train": 0}).collect()
+    assert {r.split: r.n_capped for r in capped} == {"train": 0, "validation": 0}
+    assert {r.split: r.n_capped for r in split_counts(rows, 9, caps={"train": 5}).collect()} == {"train": 1, "validation": 1}
     assert corpus_characters(rows).first().n_chars == 3 + 6 + 1
 
 
 def test_prepare_splits_before_the_filter(documents):
-    got = prepare_corpus(documents, "doc_id", caps={"train": 20, "validation": 5}).collect()
+    got = prepare_corpus(documents, "doc_id", max_length=1500, caps={"train": 20, "validation": 5}).collect()
     rows = {r.doc_id: len(r.text) for r in documents.collect()}
     order = shuffled(rows, 123)
     n = math.ceil(len(rows) * 0.2)
