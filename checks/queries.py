@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from checks.sql import VOCAB_SIZE
+from checks.sql import LARGE_VOCAB_SIZE, VOCAB_SIZE
 from corpusloom.functions.sequences import INTS
 from corpusloom.functions.text import BYTE_BPE, CHAR_BPE, char_words
 from corpusloom.operators import decode as decoding
@@ -177,6 +177,10 @@ def bpe_train_byte(spark, sf_dir):
     return tokenizer(spark, sf_dir, BYTE_BPE).merges
 
 
+def bpe_train_2000(spark, sf_dir):
+    return train_bpe(documents(spark, sf_dir), CHAR_BPE, LARGE_VOCAB_SIZE).merges
+
+
 def bpe_vocab(spark, sf_dir):
     return tokenizer(spark, sf_dir, CHAR_BPE).vocab
 
@@ -386,6 +390,7 @@ def all_queries() -> dict[str, Query]:
         "bpe_pair_counts_byte": bpe_pair_counts_byte,
         "bpe_train": bpe_train,
         "bpe_train_byte": bpe_train_byte,
+        "bpe_train_2000": bpe_train_2000,
         "bpe_vocab": bpe_vocab,
         "bpe_vocab_byte": bpe_vocab_byte,
         "vocab_specials": vocab_specials,

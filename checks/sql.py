@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-VOCAB_SIZE = 300
+# For queries that need some tokenizer, and for the one that trains a large one.
+VOCAB_SIZE, LARGE_VOCAB_SIZE = 300, 2_000
 CHAR_WORD = r"[!-/:-@\[-`{-~\p{P}]|[^\s!-/:-@\[-`{-~\p{P}]+"
 BYTE_WORD = (
     r"''s|''t|''re|''ve|''m|''ll|''d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}\x{E000}]+|\s+"
@@ -112,7 +113,7 @@ def counts_cte(kind: str, source: str = "documents", training: bool = True, tag:
       JOIN byte_names{tag} USING (hex))"""
 
 
-def training_cte(kind: str, source: str = "documents") -> str:
+def training_cte(kind: str, source: str = "documents", size: int = VOCAB_SIZE) -> str:
     """``train``: words ('w'), vocabulary ('v') and merges ('m') after each round.
 
     A symbol is the character with code point ``id + 1``.
@@ -138,7 +139,7 @@ def training_cte(kind: str, source: str = "documents") -> str:
           FROM (SELECT s, n, unnest(range(1, length(s))) AS i FROM prev WHERE kind = 'w' AND length(s) > 1)
           GROUP BY 1),
         best AS (
-          SELECT pair, n FROM pairs WHERE n >= 2 AND (SELECT v FROM size) < {VOCAB_SIZE}
+          SELECT pair, n FROM pairs WHERE n >= 2 AND (SELECT v FROM size) < {size}
           ORDER BY n DESC, pair LIMIT 1),
         named AS (
           SELECT pair, best.n, l.a AS l, r.a AS r, l.a || r.a AS token
@@ -184,8 +185,8 @@ def encoded_cte(kind: str, source: str = "documents", key: str = "doc_id") -> st
       GROUP BY d.doc_id)"""
 
 
-def trained(kind: str, source: str = "documents") -> str:
-    return f"WITH RECURSIVE {training_cte(kind, source)}"
+def trained(kind: str, source: str = "documents", size: int = VOCAB_SIZE) -> str:
+    return f"WITH RECURSIVE {training_cte(kind, source, size)}"
 
 
 def encoded(kind: str, source: str = "documents") -> str:
@@ -309,6 +310,7 @@ def oracle() -> dict[str, str]:
             FROM letters a JOIN letters b ON b.word = a.word AND b.pos = a.pos + 1 GROUP BY 1, 2""",
         "bpe_train": f"{trained('char')} {MERGES}",
         "bpe_train_byte": f"{trained('byte')} {MERGES}",
+        "bpe_train_2000": f"{trained('char', size=LARGE_VOCAB_SIZE)} {MERGES}",
         "bpe_vocab": f"{trained('char')} SELECT token, id, is_special FROM vocab",
         "bpe_vocab_byte": f"{trained('byte')} SELECT token, id, is_special FROM vocab",
         "vocab_specials": f"""{trained('char')}
