@@ -10,8 +10,9 @@ from pyspark.sql import Column, DataFrame, functions as F
 from corpusloom.llm.tables import ascii_lower, input_columns, left_null_safe, repeated, stored, with_copies
 
 WINDOW = 13
-# A word, before A-Z are lower-cased: letters, digits and everything beyond ASCII.
-WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+# A word, before A-Z are lower-cased: ASCII letters and digits, and everything beyond ASCII. Java matches named
+# classes about ten times as fast as the same class with ranges left out.
+WORD = r"[\p{Alnum}\P{ASCII}]+"
 # Words of benchmark items in one block; what a block broadcasts is about 100 bytes a word.
 BLOCK_WORDS = 200_000
 
