@@ -44,7 +44,8 @@ def with_rank(
 ) -> DataFrame:
     """Add ``rank`` (1, 2, ...) within each group, and the ``_bucket`` it comes from.
 
-    Rows are shuffled once, by group and bucket.
+    Rows are shuffled once, by group and bucket. ``by`` names a few groups, such as splits: of each, 65,536
+    offsets are broadcast.
     """
     keys = as_keys(key)
     narrow = _with_order(df.select(*by, *keys), key, seeds)
@@ -69,7 +70,8 @@ def quota_cutoffs(
     """Where each group's quota ends: one row ``(*by, cutoff)`` per group.
 
     ``quota`` maps the group's row count to the number of rows to take. A group
-    with a quota of zero has no row. Only the bucket the quota ends in is sorted.
+    with a quota of zero has no row. Only the bucket the quota ends in is sorted. ``by`` names a few
+    groups, of each of which a row is broadcast.
     """
     keys = as_keys(key)
     ordered = _with_order(df.select(*by, *keys), key, seeds)
