@@ -74,6 +74,30 @@ def cells_to_split(cells: Cells, fails: int, fits: int, n_shards: int) -> list[i
     return sorted(chosen)
 
 
+def even_cuts(bounds: np.ndarray, capacity: int, n_shards: int) -> list[int]:
+    """Indices of the bounds to cut at, none of the shards being over a feasible capacity.
+
+    Cutting greedily leaves what is missing to the last shard. So each cut has a least place, from
+    cutting greedily from the end, and a greatest, from the start; the one nearest to even shards is taken.
+    """
+    total = int(bounds[-1])
+    least = [total] * (n_shards + 1)
+    for k in range(n_shards - 1, 0, -1):
+        least[k] = int(bounds[np.searchsorted(bounds, max(least[k + 1] - capacity, 0))])
+    cuts, at, furthest = [], 0, 0
+    for k in range(1, n_shards):
+        furthest = int(bounds[np.searchsorted(bounds, furthest + capacity, "right") - 1])
+        first = int(np.searchsorted(bounds, least[k]))
+        last = int(np.searchsorted(bounds, min(furthest, at + capacity), "right")) - 1
+        even = total * k / n_shards
+        near = int(np.searchsorted(bounds, even))
+        if near == len(bounds) or near > 0 and even - bounds[near - 1] < bounds[near] - even:
+            near -= 1
+        cuts.append(min(max(near, first), last))
+        at = int(bounds[cuts[-1]])
+    return cuts
+
+
 def _cells(groups: DataFrame, digits: int) -> list[tuple[str, int, int]]:
     rows = groups.groupBy(F.substring("digest", 1, digits).alias("p")).agg(
         F.sum("size").alias("s"), F.count(F.lit(1)).alias("n")
@@ -100,8 +124,7 @@ def minimax_cuts(groups: DataFrame, n_shards: int) -> list[str]:
         for digits in sorted({len(p) for p in gone}):
             inside = F.substring("digest", 1, digits).isin([p for p in gone if len(p) == digits])
             found += _cells(groups.where(inside), digits + SPLIT_DIGITS)
-    starts = np.searchsorted(cells.bounds, walk(cells, fits, n_shards)[0][1:-1])
-    return [cells.prefix[i] for i in starts if i < len(cells.prefix)]
+    return [cells.prefix[i] for i in even_cuts(cells.bounds, fits, n_shards) if i < len(cells.prefix)]
 
 
 def _shard(digest: Column, cuts: list[str]) -> Column:
@@ -128,7 +151,8 @@ def shard_rows(docs: DataFrame, n_shards: int, key: str = "doc_id", text: str =
 
     Equal texts are one group, which is never cut. Groups are ordered by the SHA-256 of the
     text; each shard takes neighbouring groups. The size of a row is its UTF-8 bytes plus 8. Binary
-    search finds the smallest capacity that greedy cutting can keep to, and the cuts are made there.
+    search finds the smallest capacity that greedy cutting can keep to; under it, each cut is made where shards
+    come out most even.
 
     Returns key, ``size``, ``text_crc32``, ``law`` (``bytes``), ``shard``, ``slot`` (from 0, without
     gaps in a shard) and ``grown_shard`` (null) for each row. Null texts are as empty ones; null keys and

@@ -71,5 +71,19 @@ def test_capacity_range_brackets_the_least():
         assert fits == least_capacity(list(sizes), 5) == fails + 1
 
 
+def test_cuts_are_even_under_the_capacity():
+    draw = np.random.default_rng(3)
+    for _ in range(200):
+        sizes = draw.integers(1, draw.choice([3, 40, 1_000]), int(draw.integers(1, 80)))
+        n = int(draw.integers(1, 9))
+        bounds = np.concatenate([[0], np.cumsum(sizes)])
+        capacity = least_capacity(list(sizes), n)
+        cuts = sharding.even_cuts(bounds, capacity, n)
+        shards = np.diff([0, *bounds[cuts], bounds[-1]])
+        assert len(cuts) == n - 1 and shards.min() >= 0 and shards.max() == capacity
+    even = sharding.even_cuts(np.arange(0, 1_001), 101, 10)
+    assert list(np.diff([0, *even, 1_000])) == [100] * 10
+
+
 def test_empty(spark):
     assert shard_rows(empty(spark), 24).count() == 0
