@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from corpusloom.llm.tables import input_columns, join_hot, left_null_safe, stored
+from corpusloom.llm.tables import BROADCAST_ROWS, input_columns, join_hot, left_null_safe, small_broadcast, stored
 
 MAX_EDITS = 1
 # Parts of a line, of which a single edit changes one; first few, then more for lines that are left.
@@ -30,33 +30,62 @@ def _occurrences(docs: DataFrame, key: str, text: str) -> DataFrame:
     return rows.where(_is_line(F.col("line")))
 
 
-def _holes(lines: DataFrame, parts: int) -> DataFrame:
-    """Each line without one of its parts: hash of the rest, once for each part and role.
+def _hole(roles: DataFrame, parts: int) -> DataFrame:
+    """Where the part of a line begins and ends, and 128 bits of the line without it.
 
     Two lines one edit apart agree outside one part. Parts are laid out by the length of the
     shorter line, ``base``: a line of that length has role 0; one longer by a character has role 1
     and that character more in the part.
     """
-    roles = lines.withColumn("role", F.explode(F.array(F.lit(0), F.lit(1))))
-    roles = roles.withColumn("base", F.length("line") - F.col("role")).where("base > 0")
-    n = F.least(F.lit(parts), F.col("base"))
-    roles = roles.withColumn("n", n).withColumn("part", F.explode(F.sequence(F.lit(1), n)))
-    left = F.floor((F.col("part") - 1) * F.col("base") / F.col("n")).cast("int")
-    right = (F.col("base") - F.floor(F.col("part") * F.col("base") / F.col("n"))).cast("int")
+    base = F.length("line") - F.col("role")
+    n = F.least(F.lit(parts), base)
+    left = F.floor((F.col("part") - 1) * base / n).cast("int")
+    right = (base - F.floor(F.col("part") * base / n)).cast("int")
     roles = roles.withColumns({"left": left, "right": right})
     before = F.substring(F.col("line"), F.lit(1), F.col("left"))
     after = F.substring(F.col("line"), F.length("line") - F.col("right") + 1, F.col("right"))
-    outside = (F.col("base"), F.col("part"), before, after)
+    outside = (base, F.col("part"), before, after)
     return roles.withColumns({"o1": F.xxhash64(*outside), "o2": F.xxhash64(F.lit(7), *outside)})
 
 
-def _sharing(lines: DataFrame, parts: int) -> DataFrame:
-    """Lines and parts for which another line is the same outside the part."""
-    holes = _holes(lines, parts).select("a", "b", "role", "part", "o1")
-    holes = stored(holes, "line-holes")
+def _holes(lines: DataFrame, parts: int) -> DataFrame:
+    """A row for each line, role and part."""
+    roles = lines.withColumn("role", F.explode(F.array(F.lit(0), F.lit(1))))
+    base = F.length("line") - F.col("role")
+    roles = roles.where(base > 0).withColumn("part", F.explode(F.sequence(F.lit(1), F.least(F.lit(parts), base))))
+    return _hole(roles, parts)
+
+
+def _coarse_holes(line: Column) -> list[Column]:
+    """The keys of :func:`_holes` with ``COARSE`` parts, in one row."""
+    keys = []
+    for role in (0, 1):
+        base = F.length(line) - role
+        for part in range(1, COARSE + 1):
+            left = F.floor(base * (part - 1) / COARSE).cast("int")
+            right = (base - F.floor(base * part / COARSE)).cast("int")
+            outside = (F.lit(part), base, F.substring(line, F.lit(1), left), F.substring(line, F.length(line) - right + 1, right))
+            keys.append(F.when(base > 0, F.xxhash64(*outside)))
+    return keys
+
+
+def _sharing(holes: DataFrame) -> DataFrame:
+    """Rows of a stored table of hole keys ``o1`` for which another line has the same key."""
     shared = holes.groupBy("o1").agg(F.min("a").alias("low"), F.max("a").alias("high"), F.count(F.lit(1)).alias("n"))
     shared = stored(shared.where("low <> high").select("o1", "n"), "shared-holes")
-    return join_hot(holes, shared, ["o1"], "n").select("a", "b", "role", "part")
+    if shared.count() <= BROADCAST_ROWS:
+        return holes.join(F.broadcast(shared.select("o1")), "o1")
+    return join_hot(holes, shared, ["o1"], "n")
+
+
+def _candidates(docs: DataFrame, key: str, text: str, lines: DataFrame) -> DataFrame:
+    """Lines that share a half with another line, with their text: only these are read a second time."""
+    halves = lines.select("a", "b", F.explode("halves").alias("o1")).where("o1 IS NOT NULL")
+    wanted = stored(_sharing(halves).select("a", "b").distinct(), "lines-sharing-halves")
+    again = _occurrences(docs, key, text).select(*_line_id(F.col("line")), "line")
+    found = again.join(small_broadcast(wanted), ["a", "b"], "left_semi")
+    found = found.groupBy("a", "b").agg(F.first("line").alias("line"))
+    return stored(found.join(lines.select("a", "b", "first"), ["a", "b"]), "candidate-lines")
 
 
 def _neighbours(lines: DataFrame) -> DataFrame:
@@ -68,10 +97,10 @@ def _neighbours(lines: DataFrame) -> DataFrame:
     apart, so each line needs only the earliest, found without listing pairs. Such a group has at most
     as many lines as there are characters, times the length.
     """
-    coarse = _sharing(lines, COARSE).select("a", "b").distinct()
-    left = lines.join(coarse, ["a", "b"], "left_semi")
-    fine = _sharing(left, FINE)
-    rows = _holes(left, FINE).join(fine, ["a", "b", "role", "part"])
+    holes = stored(_holes(lines, FINE).select("a", "b", "role", "part", "o1"), "line-holes")
+    fine = _sharing(holes).groupBy("a", "b").agg(F.collect_set(F.struct("role", "part")).alias("parts"))
+    rows = lines.join(fine, ["a", "b"]).withColumn("in", F.explode("parts"))
+    rows = _hole(rows.select("a", "b", "line", "first", "in.role", "in.part"), FINE)
     hole = F.substring(F.col("line"), F.col("left") + 1, F.length("line") - F.col("left") - F.col("right"))
     rows = rows.select("a", "b", "role", "first", "o1", "o2", hole.alias("hole"))
     # Place 0: the part as it is, the base that a longer line's variant may meet.
@@ -83,10 +112,10 @@ def _neighbours(lines: DataFrame) -> DataFrame:
     )
     variant = F.when(F.col("place") == 0, F.col("hole")).otherwise(variant)
     place = F.when(F.col("role") == 0, F.col("place")).otherwise(0)
-    parts = ("o1", "o2", "place", "variant")
     rows = rows.withColumn("variant", variant).withColumn("place", place)
+    key = ("o1", "o2", "place", "variant")
     rows = rows.select(
-        "a", "b", "role", "place", F.xxhash64(*parts).alias("k1"), F.xxhash64(F.lit(7), *parts).alias("k2"),
+        "a", "b", "role", "place", F.xxhash64(*key).alias("k1"), F.xxhash64(F.lit(7), *key).alias("k2"),
         F.struct("first", "a", "b").alias("me"),
     )
     same = Window.partitionBy("k1", "k2")
@@ -98,24 +127,29 @@ def _neighbours(lines: DataFrame) -> DataFrame:
 
 
 def line_classes(docs: DataFrame, key: str = "doc_id", text: str = "text", max_edits: int = MAX_EDITS) -> DataFrame:
-    """Each distinct line with its first occurrence, its count, and whether it is dropped for a near one.
+    """Each distinct line, as 128 bits ``a, b``, with its first occurrence, its count, and its neighbour.
 
-    ``line, a, b, first, n, near`` where ``near`` is the first occurrence of the earliest line
-    within ``max_edits`` (0 or 1) that comes before, else null.
+    ``a, b, first, n, near``, where ``near`` is the first occurrence of the earliest line
+    within ``max_edits`` (0 or 1) that comes before, else null. Texts of lines are moved only for
+    those that share half of themselves with another line.
     """
     if max_edits not in (0, 1):
         raise ValueError("max_edits must be 0 or 1")
-    at = F.struct(F.col("id").isNull().alias("no_id"), "id", "h", "pos")
-    lines = _occurrences(docs, key, text).groupBy("line").agg(F.min(at).alias("first"), F.count(F.lit(1)).alias("n"))
-    lines = stored(lines.select("line", *_line_id(F.col("line")), "first", "n"), "lines")
+    at = F.struct(F.col("id").isNull().alias("no_id"), "id", "h", "pos").alias("first")
+    rows = _occurrences(docs, key, text).select(*_line_id(F.col("line")), at, *[c.alias(f"c{i}") for i, c in enumerate(_coarse_holes(F.col("line")))])
+    halves = [F.first(f"c{i}").alias(f"c{i}") for i in range(2 * COARSE)]
+    lines = rows.groupBy("a", "b").agg(F.min("first").alias("first"), F.count(F.lit(1)).alias("n"), *halves)
+    lines = stored(lines.select("a", "b", "first", "n", F.array(*[f"c{i}" for i in range(2 * COARSE)]).alias("halves")), "lines")
     if max_edits == 0:
-        return lines.withColumn("near", F.lit(None).cast(lines.schema["first"].dataType))
-    other = lines.select(F.col("a").alias("n_a"), F.col("b").alias("n_b"), F.col("line").alias("n_line"))
-    own = lines.select("a", "b", "line", "first").join(_neighbours(lines), ["a", "b"]).where("near.first < first")
-    checked = own.join(other, (F.col("near.a") == F.col("n_a")) & (F.col("near.b") == F.col("n_b")))
+        return lines.select("a", "b", "first", "n", F.lit(None).cast(lines.schema["first"].dataType).alias("near"))
+    texts = _candidates(docs, key, text, lines)
+    near = texts.join(_neighbours(texts), ["a", "b"]).where("near.first < first")
+    near = stored(near.select("a", "b", "line", "near"), "neighbours")
+    other = texts.select(F.col("a").alias("n_a"), F.col("b").alias("n_b"), F.col("line").alias("n_line"))
+    checked = near.join(other, (F.col("near.a") == F.col("n_a")) & (F.col("near.b") == F.col("n_b")))
     checked = checked.where(F.levenshtein("line", "n_line", max_edits) >= 0)
     checked = checked.select("a", "b", F.col("near.first").alias("near"))
-    return lines.join(checked, ["a", "b"], "left")
+    return lines.select("a", "b", "first", "n").join(checked, ["a", "b"], "left")
 
 
 def dedup_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", max_edits: int = MAX_EDITS) -> DataFrame:
@@ -132,10 +166,13 @@ def dedup_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", max_ed
     classes = stored(line_classes(docs, key, text, max_edits), "line-classes")
     touched = stored(classes.where("n > 1 OR near IS NOT NULL").select("a", "b", "first", "n", "near"), "touched-lines")
     at = _occurrences(docs, key, text).select("id", "h", "pos", *_line_id(F.col("line")))
-    hits = join_hot(at, touched, ["a", "b"], "n")
+    if touched.count() <= BROADCAST_ROWS:
+        hits = at.join(F.broadcast(touched), ["a", "b"])
+    else:
+        hits = join_hot(at, touched, ["a", "b"], "n")
     is_first = F.col("id").eqNullSafe(F.col("first.id")) & (F.col("h") == F.col("first.h")) & (F.col("pos") == F.col("first.pos"))
     gone = hits.where(F.col("near").isNotNull() | ~is_first).groupBy("id", "h").agg(F.collect_set("pos").alias("gone"))
-    rows = left_null_safe(_rows(docs, key, text), stored(gone, "gone-lines"), ["id", "h"])
+    rows = left_null_safe(_rows(docs, key, text), small_broadcast(stored(gone, "gone-lines"), F.size("gone")), ["id", "h"])
     gone = F.coalesce("gone", F.array().cast("array<int>"))
     kept = F.filter("lines", lambda line, i: ~F.array_contains(gone, i))
     return rows.select(

@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
 from corpusloom.shared import through_table
 
 # A key is hot if it has at least one in so many rows: at most this many keys can be.
 HOT_SHARE = 1_024
+# Short rows that are broadcast at most; beyond, the same join shuffles.
+BROADCAST_ROWS = 1_000_000
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
@@ -22,6 +25,13 @@ def input_columns(df: DataFrame, **columns: str) -> DataFrame:
     return df.select(*[F.col(f"`{name}`").alias(alias) for alias, name in columns.items()])
 
 
+def blocks(batch: pd.DataFrame, column: str, size: int = 1 << 22) -> Iterator[pd.DataFrame]:
+    """A batch in parts whose texts have about ``size`` characters together, or one long text."""
+    ahead = batch[column].str.len().fillna(0).cumsum()
+    for _, part in batch.groupby((ahead // size).to_numpy(), sort=True):
+        yield part
+
+
 def with_copies(df: DataFrame, columns: Sequence[str], *carried: str) -> DataFrame:
     """One row for each distinct ``columns``, with ``copies``; summed up before the shuffle.
 
@@ -61,6 +71,12 @@ def join_hot(rows: DataFrame, table: DataFrame, keys: Sequence[str], size: str,
     )
 
 
+def small_broadcast(table: DataFrame, weight: Column | int = 1) -> DataFrame:
+    """A stored table, marked for broadcast only if its rows weigh no more than ``BROADCAST_ROWS`` in all."""
+    total = table.agg(F.sum(weight if isinstance(weight, Column) else F.lit(weight))).first()[0] or 0
+    return F.broadcast(table) if total <= BROADCAST_ROWS else table
+
+
 def left_null_safe(rows: DataFrame, table: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Left join in which null keys match each other."""
     other = table.withColumnsRenamed({k: f"_{k}" for k in keys})
