@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+import struct
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -13,11 +14,11 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, types as T
 
-from corpusloom.llm.tables import input_columns
+from corpusloom.llm.tables import blocks, input_columns
 
 SPACE = "▁"
-# Runs and parts that a worker remembers, and the length up to which it does.
-CACHE_RUNS = 300_000
+# Runs and parts that a worker remembers (some 200 bytes each), and the length up to which it does.
+CACHE_RUNS, CACHE_PARTS = 200_000, 400_000
 CACHED_LENGTH = 64
 # Score under the lowest piece's for a character that no piece covers, as the library has it.
 UNKNOWN_PENALTY = 10.0
@@ -29,8 +30,8 @@ NORMAL, UNKNOWN, USER_DEFINED, UNUSED, BYTE = 1, 2, 4, 5, 6
 class Pieces:
     """A model's pieces with their scores, read once by each worker."""
 
-    # Pieces, and beginnings of longer ones with id -1: score and id.
-    table: dict[str, tuple[float, int]]
+    # Characters to nodes: further characters, and score and id if a piece ends here.
+    trie: list
     bytes_of: list[bytes]
     byte_id: dict[int, int]
     unknown: int
@@ -39,14 +40,24 @@ class Pieces:
     dummy_prefix: bool
     # Characters that some piece has side by side.
     pairs: set[str]
-    runs: dict[str, list[int]] = field(default_factory=dict)
-    parts: dict[str, list[int]] = field(default_factory=dict)
+    runs: dict[str, bytes] = field(default_factory=dict)
+    parts: dict[str, bytes] = field(default_factory=dict)
 
     @cached_property
     def spanning(self) -> bool:
         return any(pair[1] == SPACE != pair[0] for pair in self.pairs)
 
 
+def _trie(score: dict[str, tuple[float, int]]) -> list:
+    root: list = [{}, None, -1]
+    for piece, (value, number) in score.items():
+        node = root
+        for char in piece:
+            node = node[0].setdefault(char, [{}, None, -1])
+        node[1], node[2] = value, number
+    return root
+
+
 @lru_cache(maxsize=1)
 def read_pieces(content: bytes) -> Pieces:
     """Read a ``.model`` file's content; only identity normalisation, which changes no text, is supported."""
@@ -69,9 +80,8 @@ def read_pieces(content: bytes) -> Pieces:
             unknown = i if piece.type == UNKNOWN else unknown
             bytes_of.append(b" \xe2\x81\x87 " if piece.type == UNKNOWN else b"")
     lowest = min(s for s, _ in score.values())
-    heads = {p[:i] for p in score for i in range(1, len(p))}
     return Pieces(
-        dict.fromkeys(heads, (0.0, -1)) | score, bytes_of, byte_id if len(byte_id) == 256 else {}, unknown, lowest - UNKNOWN_PENALTY,
+        _trie(score), bytes_of, byte_id if len(byte_id) == 256 else {}, unknown, lowest - UNKNOWN_PENALTY,
         max(map(len, score)), rules.add_dummy_prefix,
         {p[i : i + 2] for p in score for i in range(len(p) - 1)},
     )
@@ -84,60 +94,60 @@ def stream_viterbi(text: str, pieces: Pieces) -> Iterator[tuple[int, str]]:
     lead back through nodes they share; once all go through one node, what lies before it is
     certain, is given out and forgotten. Of equal scores the earlier start wins.
     """
-    longest, table = pieces.longest, pieces.table
-    # From place `base` on: best score, and where the best piece to it starts and its id.
-    base, best, back = 0, [0.0], [(-1, -1)]
-    check = 2 * longest
+    longest, trie, unknown, unknown_score = pieces.longest, pieces.trie, pieces.unknown, pieces.unknown_score
+    size, none = len(text), -math.inf
+    # From place `base` on: best score, where the best piece to it starts, and its id.
+    base = 0
+    ahead = min(size, 2 * longest)
+    best, start, with_ = [0.0] + [none] * ahead, [-1] * (ahead + 1), [-1] * (ahead + 1)
 
     def path(end: int) -> list[tuple[int, str]]:
         found = []
         while end > base:
-            begin, piece = back[end - base]
-            found.append((piece, text[begin:end]))
+            begin = start[end - base]
+            found.append((with_[end - base], text[begin:end]))
             end = begin
         return found[::-1]
 
-    size = len(text)
     for begin in range(size):
         at = begin - base
         here = best[at]
-        for end in range(begin + 1, min(begin + longest, size) + 1):
+        node = trie
+        for char in text[begin : begin + longest]:
             at += 1
-            known = table.get(text[begin:end])
-            if known is None and end > begin + 1:
+            node = node[0].get(char)
+            if node is None:
                 break
-            if at == len(best):
-                best.append(-math.inf)
-                back.append((-1, -1))
-            if known is None or known[1] < 0:
-                if end > begin + 1:
-                    continue
-                total, piece_id = here + pieces.unknown_score, pieces.unknown
-            else:
-                total, piece_id = here + known[0], known[1]
-            if total > best[at]:
-                best[at], back[at] = total, (begin, piece_id)
-            if known is None:
-                break
-        if len(best) >= check:
+            if (score := node[1]) is not None and here + score > best[at]:
+                best[at], start[at], with_[at] = here + score, begin, node[2]
+        first = trie[0].get(text[begin])
+        if first is None or first[1] is None:
+            at = begin - base + 1
+            if here + unknown_score > best[at]:
+                best[at], start[at], with_[at] = here + unknown_score, begin, unknown
+        if begin + 1 + longest - base >= len(best) and base + len(best) <= size:
             # Follow the places ahead back, furthest first, until one node is left.
-            live = {i + base for i in range(begin + 1 - base, len(best)) if best[i] > -math.inf}
+            live = {i + base for i in range(begin + 1 - base, len(best)) if best[i] > none}
             while len(live) > 1:
                 furthest = max(live)
                 live.remove(furthest)
-                live.add(back[furthest - base][0])
+                live.add(start[furthest - base])
             meet = live.pop()
             if meet > base:
                 yield from path(meet)
-                del best[: meet - base], back[: meet - base]
-                low = best[0]
-                best[:] = [total - low for total in best]
+                cut = meet - base
+                low = best[cut]
+                best[:] = [total - low for total in best[cut:]]
+                del start[:cut], with_[:cut]
                 base = meet
-            check = len(best) + longest
+            more = min(2 * longest, size + 1 - base - len(best))
+            best += [none] * more
+            start += [-1] * more
+            with_ += [-1] * more
     yield from path(size)
 
 
-def _path_ids(text: str, pieces: Pieces) -> list[int]:
+def _path_ids(text: str, pieces: Pieces) -> bytes:
     ids: list[int] = []
     before_unknown = False
     for piece, characters in stream_viterbi(text, pieces):
@@ -148,31 +158,28 @@ def _path_ids(text: str, pieces: Pieces) -> list[int]:
         elif not before_unknown:
             ids.append(piece)
         before_unknown = piece == pieces.unknown
-    return ids
+    return struct.pack(f"<{len(ids)}I", *ids)
 
 
-def _remembered(text: str, cache: dict[str, list[int]], make) -> list[int]:
-    found = cache.get(text)
-    if found is None:
-        found = make()
-        if len(text) <= CACHED_LENGTH:
-            if len(cache) >= CACHE_RUNS:
-                cache.clear()
-            cache[text] = found
-    return found
+def _keep(cache: dict[str, bytes], most: int, text: str, ids: bytes) -> bytes:
+    if len(text) <= CACHED_LENGTH:
+        if len(cache) >= most:
+            cache.clear()
+        cache[text] = ids
+    return ids
 
 
-def _run_ids(run: str, pieces: Pieces) -> list[int]:
+def _run_ids(run: str, pieces: Pieces) -> bytes:
     """Ids of a run, cut where no piece holds the two characters side by side: every path ends a piece there."""
     if not pieces.byte_id:
         return _path_ids(run, pieces)  # unknown characters side by side are one id
-    ids, start = [], 0
+    parts, ids, start = pieces.parts, [], 0
     for i in range(1, len(run) + 1):
         if i == len(run) or run[i - 1 : i + 1] not in pieces.pairs:
             part = run[start:i]
-            ids.extend(_remembered(part, pieces.parts, lambda part=part: _path_ids(part, pieces)))
+            ids.append(parts.get(part) or _keep(parts, CACHE_PARTS, part, _path_ids(part, pieces)))
             start = i
-    return ids
+    return b"".join(ids)
 
 
 def _runs(text: str, spanning: bool) -> Iterator[str]:
@@ -198,15 +205,22 @@ def _runs(text: str, spanning: bool) -> Iterator[str]:
     return joined()
 
 
-def encode_text(text: str | None, pieces: Pieces) -> list[int]:
-    """Ids of the path with the highest sum of scores. Null and empty texts have none."""
+def encode_bytes(text: str | None, pieces: Pieces) -> bytes:
+    """Ids, as little-endian unsigned 32-bit integers, of the path with the highest sum of scores.
+
+    Null and empty texts have none.
+    """
     if not text:
-        return []
+        return b""
     text = text.replace(" ", SPACE)
-    ids: list[int] = []
+    known, found = pieces.runs, []
     for run in _runs(SPACE + text if pieces.dummy_prefix else text, pieces.spanning):
-        ids.extend(_remembered(run, pieces.runs, lambda run=run: _run_ids(run, pieces)))
-    return ids
+        found.append(known.get(run) or _keep(known, CACHE_RUNS, run, _run_ids(run, pieces)))
+    return b"".join(found)
+
+
+def encode_text(text: str | None, pieces: Pieces) -> list[int]:
+    return np.frombuffer(encode_bytes(text, pieces), "<u4").tolist()
 
 
 def decode_ids(ids: list[int], pieces: Pieces) -> str:
@@ -229,8 +243,8 @@ def encode_pieces(docs: DataFrame, model_path: str, key: str = "doc_id", text: s
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         pieces = read_pieces(content)
-        for batch in batches:
-            yield pd.DataFrame({key: batch["id"], "ids": [encode_text(t, pieces) for t in batch["text"]]})
+        for batch in (part for whole in batches for part in blocks(whole, "text")):
+            yield pd.DataFrame({key: batch["id"], "ids": [np.frombuffer(encode_bytes(t, pieces), "<i4") for t in batch["text"]]})
 
     return rows.mapInPandas(run, schema)
 
@@ -265,13 +279,12 @@ def round_trip_pieces(docs: DataFrame, model_path: str, key: str = "doc_id", tex
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         pieces = read_pieces(content)
-        for batch in batches:
+        for batch in (part for whole in batches for part in blocks(whole, "text")):
             out = []
-            for one, whole in zip(batch["id"], batch["text"], strict=True):
-                ids = encode_text(whole, pieces)
-                decoded = decode_ids(ids, pieces)
-                crc = zlib.crc32(np.array(ids, "<u4").tobytes())
-                out.append((one, len(ids), crc, decoded == (whole or ""), decoded))
+            for one, text_of in zip(batch["id"], batch["text"], strict=True):
+                ids = encode_bytes(text_of, pieces)
+                decoded = decode_ids(np.frombuffer(ids, "<u4").tolist(), pieces)
+                out.append((one, len(ids) // 4, zlib.crc32(ids), decoded == (text_of or ""), decoded))
             found = pd.DataFrame(out, columns=schema.names)
             found[key] = batch["id"].to_numpy()
             yield found

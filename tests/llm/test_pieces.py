@@ -46,10 +46,18 @@ def test_equal_to_the_library(unigram):
 
 
 def brute(text, pieces):
+    def lookup(piece):
+        node = pieces.trie
+        for char in piece:
+            node = node[0].get(char)
+            if node is None:
+                return 0, -1
+        return (0, -1) if node[1] is None else node[1:]
+
     best, back = [0.0] + [-math.inf] * len(text), [None] * (len(text) + 1)
     for end in range(1, len(text) + 1):
         for begin in range(max(0, end - pieces.longest), end):
-            score, piece = pieces.table.get(text[begin:end], (0, -1))
+            score, piece = lookup(text[begin:end])
             if piece < 0:
                 if end > begin + 1:
                     continue
