@@ -5,7 +5,7 @@ from __future__ import annotations
 import math
 import struct
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
 from functools import cached_property, lru_cache
 from pathlib import Path
@@ -17,8 +17,8 @@ from pyspark.sql import DataFrame, types as T
 from corpusloom.llm.tables import blocks, input_columns
 
 SPACE = "▁"
-# Runs and parts that a worker remembers (some 200 bytes each), and the length up to which it does.
-CACHE_RUNS, CACHE_PARTS = 200_000, 400_000
+# Runs and their parts that a worker remembers (some 200 bytes each), and the length up to which it does.
+CACHE_RUNS = 300_000
 CACHED_LENGTH = 64
 # Score under the lowest piece's for a character that no piece covers, as the library has it.
 UNKNOWN_PENALTY = 10.0
@@ -40,8 +40,7 @@ class Pieces:
     dummy_prefix: bool
     # Characters that some piece has side by side.
     pairs: set[str]
-    runs: dict[str, bytes] = field(default_factory=dict)
-    parts: dict[str, bytes] = field(default_factory=dict)
+    known: dict[str, bytes] = field(default_factory=dict)
 
     @cached_property
     def spanning(self) -> bool:
@@ -147,10 +146,10 @@ def stream_viterbi(text: str, pieces: Pieces) -> Iterator[tuple[int, str]]:
     yield from path(size)
 
 
-def _path_ids(text: str, pieces: Pieces) -> bytes:
+def _ids_of(path: Iterable[tuple[int, str]], pieces: Pieces) -> bytes:
     ids: list[int] = []
     before_unknown = False
-    for piece, characters in stream_viterbi(text, pieces):
+    for piece, characters in path:
         if piece != pieces.unknown:
             ids.append(piece)
         elif pieces.byte_id:
@@ -161,9 +160,45 @@ def _path_ids(text: str, pieces: Pieces) -> bytes:
     return struct.pack(f"<{len(ids)}I", *ids)
 
 
-def _keep(cache: dict[str, bytes], most: int, text: str, ids: bytes) -> bytes:
+def _path_ids(text: str, pieces: Pieces) -> bytes:
+    """Ids of the best path. A text that fits the window needs no forgetting, so its loop is plain."""
+    size = len(text)
+    if size > 2 * pieces.longest:
+        return _ids_of(stream_viterbi(text, pieces), pieces)
+    root = pieces.trie[0]
+    best, start, with_ = [-math.inf] * (size + 1), [0] * (size + 1), [0] * (size + 1)
+    best[0] = 0.0
+    for begin in range(size):
+        here, at, nodes = best[begin], begin, root
+        for char in text[begin:] if begin else text:
+            at += 1
+            node = nodes.get(char)
+            if node is None:
+                break
+            nodes, score, piece = node
+            if score is not None and here + score > best[at]:
+                best[at], start[at], with_[at] = here + score, begin, piece
+        first = root.get(text[begin])
+        if first is None or first[1] is None:
+            at = begin + 1
+            if here + pieces.unknown_score > best[at]:
+                best[at], start[at], with_[at] = here + pieces.unknown_score, begin, pieces.unknown
+    ids, end = [], size
+    while end:
+        ids.append(with_[end])
+        end = start[end]
+    if pieces.unknown not in ids:
+        return struct.pack(f"<{len(ids)}I", *reversed(ids))
+    path, end = [], size
+    while end:
+        path.append((with_[end], text[start[end] : end]))
+        end = start[end]
+    return _ids_of(reversed(path), pieces)
+
+
+def _keep(cache: dict[str, bytes], text: str, ids: bytes) -> bytes:
     if len(text) <= CACHED_LENGTH:
-        if len(cache) >= most:
+        if len(cache) >= CACHE_RUNS:
             cache.clear()
         cache[text] = ids
     return ids
@@ -173,11 +208,11 @@ def _run_ids(run: str, pieces: Pieces) -> bytes:
     """Ids of a run, cut where no piece holds the two characters side by side: every path ends a piece there."""
     if not pieces.byte_id:
         return _path_ids(run, pieces)  # unknown characters side by side are one id
-    parts, ids, start = pieces.parts, [], 0
+    known, pairs, ids, start = pieces.known, pieces.pairs, [], 0
     for i in range(1, len(run) + 1):
-        if i == len(run) or run[i - 1 : i + 1] not in pieces.pairs:
+        if i == len(run) or run[i - 1 : i + 1] not in pairs:
             part = run[start:i]
-            ids.append(parts.get(part) or _keep(parts, CACHE_PARTS, part, _path_ids(part, pieces)))
+            ids.append(known.get(part) or _keep(known, part, _path_ids(part, pieces)))
             start = i
     return b"".join(ids)
 
@@ -213,9 +248,9 @@ def encode_bytes(text: str | None, pieces: Pieces) -> bytes:
     if not text:
         return b""
     text = text.replace(" ", SPACE)
-    known, found = pieces.runs, []
+    known, found = pieces.known, []
     for run in _runs(SPACE + text if pieces.dummy_prefix else text, pieces.spanning):
-        found.append(known.get(run) or _keep(known, CACHE_RUNS, run, _run_ids(run, pieces)))
+        found.append(known.get(run) or _keep(known, run, _run_ids(run, pieces)))
     return b"".join(found)
 
 

@@ -6,7 +6,7 @@ import pytest
 import sentencepiece
 from sentencepiece import sentencepiece_model_pb2 as proto
 
-from corpusloom.llm.pieces import decode_ids, decode_pieces, encode_pieces, encode_text, read_pieces, round_trip_pieces, stream_viterbi
+from corpusloom.llm.pieces import _ids_of, _path_ids, decode_ids, decode_pieces, encode_pieces, encode_text, read_pieces, round_trip_pieces, stream_viterbi
 
 from .messy import TEXTS, empty, messy
 
@@ -75,7 +75,10 @@ def brute(text, pieces):
 def test_stream_equals_whole_viterbi(unigram):
     pieces = read_pieces(open(unigram, "rb").read())
     for text in sample_texts():
-        assert list(stream_viterbi(text.replace(" ", "▁"), pieces)) == brute(text.replace(" ", "▁"), pieces)
+        marked = text.replace(" ", "▁")
+        assert list(stream_viterbi(marked, pieces)) == brute(marked, pieces)
+        for part in (marked[:7], marked[5:30], marked):
+            assert _path_ids(part, pieces) == _ids_of(brute(part, pieces), pieces)
 
 
 def test_ids_come_before_the_text_ends(unigram):
