@@ -6,7 +6,7 @@ import hashlib
 import json
 import uuid
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from functools import lru_cache
 from pathlib import Path
 
@@ -25,20 +25,23 @@ HEADER = len(MAGIC) + 32
 # The dictionary is trained on up to so many documents, and so many bytes of each.
 SAMPLE_DOCUMENTS, SAMPLE_BYTES, DICTIONARY_BYTES = 1_000, 16_384, 65_536
 LEVEL = 3
-CACHE_CHUNKS = 400_000
+# Chunks a worker remembers, of some 200 bytes each; new chunks encoded in one call; characters of texts encoded together.
+CACHE_CHUNKS, NEW_CHUNKS, GROUP_CHARACTERS = 600_000, 1_000, 1 << 20
 # Neighbouring frames are read together up to this size.
 READ_BYTES = 8 << 20
 
 
-class ChunkEncoder(dict):
+
+class ChunkEncoder:
     """Ids of texts, chunk by chunk between spaces, as little-endian unsigned 32-bit integers.
 
-    A byte-level pre-tokenizer always cuts before a single space, so chunks can be encoded
-    alone, by the library, and remembered. Where that does not hold, whole texts are encoded.
+    A byte-level pre-tokenizer always cuts before a single space, so the library can encode chunks apart
+    from their text; those seen before are remembered. New chunks go to the library many at a time, as
+    one text, whose ids are cut where a token begins with the space. Where a tokenizer or a text
+    is not like that, whole texts are encoded.
     """
 
     def __init__(self, tokenizer_json: str):
-        super().__init__()
         self.tokenizer = Tokenizer.from_str(tokenizer_json)
         spec = json.loads(tokenizer_json)
         cuts = spec.get("pre_tokenizer") or {}
@@ -46,26 +49,64 @@ class ChunkEncoder(dict):
             cuts.get("type") == "ByteLevel" and not cuts.get("add_prefix_space") and cuts.get("use_regex", True)
             and not spec.get("normalizer") and not any(" " in t["content"] for t in spec.get("added_tokens") or [])
         )
+        vocabulary = self.tokenizer.get_vocab()
+        self.spaced = np.zeros(max(vocabulary.values(), default=-1) + 1, bool)
+        self.spaced[[i for token, i in vocabulary.items() if "\u0120" in token]] = True  # the space, as tokens show it
+        self.known: dict[str, bytes] = {}
 
-    def whole(self, text: str) -> bytes:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+    def _ids(self, text: str) -> np.ndarray:
+        return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
 
-    def __missing__(self, chunk: str) -> bytes:
-        if len(self) >= CACHE_CHUNKS:
-            self.clear()
-        ids = self.whole(" " + chunk)
-        if len(chunk) <= 64:
-            self[chunk] = ids
-        return ids
+    def whole(self, text: str) -> bytes:
+        return self._ids(text).tobytes()
+
+    def _new(self, chunks: list[str]) -> list[bytes]:
+        ids = self._ids(" " + " ".join(chunks))
+        starts = np.flatnonzero(self.spaced[ids])
+        if len(starts) != len(chunks):
+            return [self.whole(" " + chunk) for chunk in chunks]
+        data, cuts = ids.tobytes(), [*(starts * 4).tolist(), 4 * len(ids)]
+        return [data[i:j] for i, j in zip(cuts, cuts[1:], strict=False)]
+
+    def _group(self, texts: list[str]) -> list[bytes]:
+        found: list[tuple[list[str], list[bytes | None]]] = []
+        new: dict[str, bytes] = {}
+        for text in texts:
+            if not self.by_chunk or "  " in text or not text:
+                found.append(([], [self.whole(text) if text else b""]))
+                continue
+            chunks = text.split(" ")
+            ids = list(map(self.known.get, chunks))
+            ids[0] = self.whole(chunks[0]) if chunks[0] else b""
+            new.update((chunk, b"") for chunk, i in zip(chunks, ids, strict=True) if i is None)
+            found.append((chunks, ids))
+        some = [chunk for chunk in new if chunk]
+        for low in range(0, len(some), NEW_CHUNKS):
+            block = some[low : low + NEW_CHUNKS]
+            new.update(zip(block, self._new(block), strict=True))
+        if "" in new:
+            new[""] = self.whole(" ")
+        if len(self.known) + len(new) > CACHE_CHUNKS:
+            self.known.clear()
+        self.known.update((chunk, ids) for chunk, ids in new.items() if len(chunk) <= 64)
+        whole = []
+        for chunks, ids in found:
+            whole.append(b"".join([new[c] if i is None else i for c, i in zip(chunks, ids, strict=True)] if chunks else ids))
+        return whole
+
+    def encode_all(self, texts: Iterable[str | None]) -> Iterator[bytes]:
+        """Ids of each text, in order; null as empty. A group of texts at a time is held as chunks."""
+        group, size = [], 0
+        for text in texts:
+            group.append(text or "")
+            size += len(group[-1])
+            if size > GROUP_CHARACTERS:
+                yield from self._group(group)
+                group, size = [], 0
+        yield from self._group(group)
 
     def encode(self, text: str | None) -> bytes:
-        if not text:
-            return b""
-        if not self.by_chunk or "  " in text:
-            return self.whole(text)
-        first, _, rest = text.partition(" ")
-        ids = self.whole(first) if first else b""
-        return ids + b"".join(map(self.__getitem__, rest.split(" "))) if len(first) < len(text) else ids
+        return next(self.encode_all([text]))
 
 
 @lru_cache(maxsize=1)
@@ -94,7 +135,7 @@ def _samples(rows: DataFrame, tokenizer_json: str, end_id: int) -> list[bytes]:
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         encoder, end = _encoder(tokenizer_json), np.array([end_id], "<u4").tobytes()
         for batch in batches:
-            yield pd.DataFrame({"ids": [(encoder.encode(t) + end)[:SAMPLE_BYTES] for t in batch["text"]]})
+            yield pd.DataFrame({"ids": [(ids + end)[:SAMPLE_BYTES] for ids in encoder.encode_all(batch["text"])]})
 
     return sorted(bytes(r.ids) for r in texts.mapInPandas(run, "ids binary").collect())
 
@@ -142,8 +183,8 @@ def write_ids(docs: DataFrame, tokenizer_path: str, path: str, key: str = "doc_i
                     file = system.open_output_stream(f"{at}/{name}")
                     file.write(MAGIC + digest)
                 out = []
-                for one in batch["text"]:
-                    ids = encoder.encode(one) + end
+                for ids in encoder.encode_all(batch["text"]):
+                    ids += end
                     frame = compressor.compress(ids)
                     file.write(frame)
                     out.append((part, name, offset, len(frame), len(ids) // 4, before))
