@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from corpusloom.llm.components import connected_components
 from corpusloom.llm.shingles import WordHashes, mix, shingle_set
-from corpusloom.llm.tables import input_columns, join_hot, stored
+from corpusloom.llm.tables import BROADCAST_ROWS, blocks, input_columns, join_hot, small_broadcast, stored
 
 NGRAM = 3
 PERCENT = 90
@@ -18,8 +18,6 @@ PERCENT = 90
 BAND = 1.5
 # Shingles of one tile: 16 MB of hashes.
 TILE_SHINGLES = 2_000_000
-# Rows that are broadcast at most; beyond, the same join shuffles.
-BROADCAST_ROWS = 1_000_000
 
 
 def _bands(size: int, percent: int) -> list[tuple[int, int]]:
@@ -69,7 +67,7 @@ def _signed(values: np.ndarray) -> np.ndarray:
 def _signatures(n: int, percent: int):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         hashes = WordHashes()
-        for batch in batches:
+        for batch in (part for whole in batches for part in blocks(whole, "text")):
             sets = [shingle_set(t, n, hashes) for t in batch["text"]]
             rows = batch[["id", "h"]].copy()
             rows["n"] = [len(s) for s in sets]
@@ -134,11 +132,6 @@ def _tile(n: int, percent: int):
     return run
 
 
-def _bounded(table: DataFrame) -> DataFrame:
-    """Broadcast a stored table only if it is small."""
-    return F.broadcast(table) if table.count() <= BROADCAST_ROWS else table
-
-
 def _candidate_edges(signatures: DataFrame) -> DataFrame:
     """Classes that share a tile, each with the least of its tile."""
     members = signatures.select(F.explode("keys").alias("key"), "d1")
@@ -225,7 +218,7 @@ def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text",
     nodes = clusters.join(classes.withColumnRenamed("d1", "node"), "node").withColumnRenamed("node", "d1")
     nodes = stored(nodes.select("d1", "component", "id", "h", "n"), "candidates")
     tiles = _tiles(nodes, percent)
-    wanted = _bounded(nodes.select(F.col("id").alias("w_id"), F.col("h").alias("w_h"), "d1"))
+    wanted = small_broadcast(nodes).select(F.col("id").alias("w_id"), F.col("h").alias("w_h"), "d1")
     texts = rows.join(wanted, F.col("id").eqNullSafe(F.col("w_id")) & (F.col("h") == F.col("w_h")))
     texts = texts.groupBy("d1").agg(F.first("text").alias("text"))
     filled = tiles.select("component", "tile", "side", "d1").join(texts, "d1")

@@ -11,7 +11,7 @@ import pandas as pd
 import xxhash
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from corpusloom.llm.tables import input_columns, stored
+from corpusloom.llm.tables import blocks, input_columns, stored
 
 # Classes: 0 beyond the ends of a text, then frequent words of their own, then classes by hash.
 CLASSES, FREQUENT = 256, 191
@@ -21,7 +21,7 @@ OFFSETS = [o for o in range(-WINDOW, WINDOW + 1) if o]
 # Training: rounds over the corpus, every so many words masked in a round, and Adam's settings.
 ROUNDS, STRIDE, BATCH, RATE = 2, 8, 512, 0.01
 BLOCK = 2_048
-CACHE_WORDS = 500_000
+CACHE_WORDS = 200_000
 
 _NOT_WORD = bytes(c if c >= 128 or chr(c).isalnum() else 32 for c in range(256))
 
@@ -62,7 +62,7 @@ def word_counts(docs: DataFrame) -> DataFrame:
     """``word`` (binary) and ``n`` over all texts, counted in each batch first."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
+        for batch in (part for whole in batches for part in blocks(whole, "text", 1 << 24)):
             found: Counter[bytes] = Counter()
             for text in batch["text"]:
                 found.update(words(text))
@@ -183,7 +183,7 @@ def _classes(rows: DataFrame, vocabulary: Vocabulary) -> DataFrame:
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         class_of = ClassOf(frequent)
-        for batch in batches:
+        for batch in (part for whole in batches for part in blocks(whole, "text")):
             yield pd.DataFrame({"id": batch["id"], "classes": [bytes(map(class_of.__getitem__, words(t))) for t in batch["text"]]})
 
     return rows.mapInPandas(run, schema)
@@ -195,7 +195,7 @@ def _train_round(texts: DataFrame, network: Network, number: int) -> Network:
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         learner, seen = Adam(network.filled(start.copy())), 0
-        for batch in batches:
+        for batch in (part for whole in batches for part in blocks(whole, "classes")):
             padded, at, _ = padded_texts(batch["classes"].tolist())
             at = at[number * STRIDE // ROUNDS :: STRIDE]
             at = at[np.random.default_rng(number).permutation(len(at))]
@@ -225,7 +225,7 @@ def score_texts(texts: DataFrame, network: Network, vocabulary: Vocabulary) -> D
     schema = T.StructType([texts.schema["id"], T.StructField("n_tokens", T.LongType()), T.StructField("log_likelihood", T.DoubleType())])
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
+        for batch in (part for whole in batches for part in blocks(whole, "classes", 1 << 20)):
             padded, at, lengths = padded_texts(batch["classes"].tolist())
             each = np.concatenate([[0.0], np.cumsum(network.log_probabilities(padded, at) - inside[padded[at]])])
             ends = np.cumsum(lengths)
