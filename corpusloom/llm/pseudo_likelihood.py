@@ -22,6 +22,8 @@ OFFSETS = [o for o in range(-WINDOW, WINDOW + 1) if o]
 ROUNDS, STRIDE, BATCH, RATE = 2, 8, 512, 0.01
 BLOCK = 2_048
 CACHE_WORDS = 200_000
+# Frequent words whose counts go out with the tasks, at most; those of all others are joined.
+KNOWN_WORDS = 100_000
 
 _NOT_WORD = bytes(c if c >= 128 or chr(c).isalnum() else 32 for c in range(256))
 
@@ -33,11 +35,16 @@ def words(text: str | None) -> list[bytes]:
 
 @dataclass
 class Vocabulary:
-    """Frequent words with their classes; how many distinct words each class has; how often it occurs."""
+    """Frequent words with their classes; how many distinct words each class has; how often it occurs.
+
+    ``known`` has the log-share of frequent words, ``others`` (``word``, ``share``) that of the rest.
+    """
 
     frequent: dict[bytes, int]
     sizes: np.ndarray
     counts: np.ndarray
+    known: dict[bytes, float]
+    others: DataFrame
 
 
 class ClassOf(dict):
@@ -82,7 +89,26 @@ def build_vocabulary(docs: DataFrame) -> Vocabulary:
     of = F.pmod(F.xxhash64("word"), F.lit(HASHED)).cast("int").alias("c")
     for r in by_hash.groupBy(of).agg(F.count(F.lit(1)).alias("s"), F.sum("n").alias("n")).collect():
         sizes[1 + FREQUENT + r.c], counts[1 + FREQUENT + r.c] = r.s, r.n
-    return Vocabulary(frequent, sizes, counts)
+    # Log of a word's part of its class, over that of equal parts: 0 for words with a class of their own.
+    equal = F.lit((sizes / np.maximum(counts, 1))[1 + FREQUENT :].tolist())
+    shared = by_hash.select("word", "n", F.log(F.col("n") * F.get(equal, of)).alias("share"))
+    least = _least_known(by_hash)
+    known = {bytes(r.word): r.share for r in shared.where(F.col("n") >= least).select("word", "share").collect()}
+    return Vocabulary(frequent, sizes, counts, known | dict.fromkeys(frequent, 0.0), shared.where(F.col("n") < least).select("word", "share"))
+
+
+def _least_known(counted: DataFrame) -> int:
+    """The count from which on words are known to each task: they are no more than ``KNOWN_WORDS``."""
+    # Counts in steps of a sixteenth of a power of two: at most a thousand rows.
+    step = F.floor(F.log2("n") * 16).alias("step")
+    steps = counted.groupBy(step).agg(F.min("n").alias("least"), F.count(F.lit(1)).alias("words")).orderBy(F.desc("step")).collect()
+    least, words_ahead = (1 << 63) - 1, 0
+    for r in steps:
+        words_ahead += r.words
+        if words_ahead > KNOWN_WORDS:
+            break
+        least = r.least
+    return least
 
 
 @dataclass
@@ -177,16 +203,34 @@ def padded_texts(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray
 
 
 def _classes(rows: DataFrame, vocabulary: Vocabulary) -> DataFrame:
-    """Each text as a string of bytes, one for the class of each word."""
-    frequent = vocabulary.frequent
-    schema = T.StructType([rows.schema["id"], T.StructField("classes", T.BinaryType())])
+    """Each text as a string of bytes, one for the class of each word.
+
+    Also a number for the row, to be kept by writing the table, the sum of known words' shares, and the other words with
+    how often the text has them.
+    """
+    frequent, known = vocabulary.frequent, vocabulary.known
+    schema = T.StructType([
+        rows.schema["id"], T.StructField("row", T.LongType()), T.StructField("classes", T.BinaryType()),
+        T.StructField("shares", T.DoubleType()),
+        T.StructField("words", T.ArrayType(T.BinaryType())), T.StructField("times", T.ArrayType(T.LongType())),
+    ])
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         class_of = ClassOf(frequent)
         for batch in (part for whole in batches for part in blocks(whole, "text")):
-            yield pd.DataFrame({"id": batch["id"], "classes": [bytes(map(class_of.__getitem__, words(t))) for t in batch["text"]]})
+            classes, shares, others = [], [], []
+            for text in batch["text"]:
+                found = words(text)
+                classes.append(bytes(map(class_of.__getitem__, found)))
+                each = list(map(known.get, found))
+                others.append(Counter(w for w, share in zip(found, each, strict=True) if share is None))
+                shares.append(sum(share for share in each if share is not None))
+            yield pd.DataFrame({
+                "id": batch["id"].to_numpy(), "row": batch["row"].to_numpy(), "classes": classes, "shares": np.array(shares, "float64"),
+                "words": [list(o.keys()) for o in others], "times": [list(o.values()) for o in others],
+            })
 
-    return rows.mapInPandas(run, schema)
+    return rows.withColumn("row", F.monotonically_increasing_id()).mapInPandas(run, schema)
 
 
 def _train_round(texts: DataFrame, network: Network, number: int) -> Network:
@@ -220,18 +264,29 @@ def train_network(texts: DataFrame, vocabulary: Vocabulary) -> Network:
 
 
 def score_texts(texts: DataFrame, network: Network, vocabulary: Vocabulary) -> DataFrame:
-    """``id, n_tokens, log_likelihood`` of texts given as classes."""
+    """``id, row, n_tokens, log_likelihood`` of texts given as classes, whose words are taken to be equally likely."""
     inside = np.log(np.maximum(vocabulary.sizes, 1))
-    schema = T.StructType([texts.schema["id"], T.StructField("n_tokens", T.LongType()), T.StructField("log_likelihood", T.DoubleType())])
+    schema = T.StructType([texts.schema["id"], texts.schema["row"], T.StructField("n_tokens", T.LongType()), T.StructField("log_likelihood", T.DoubleType())])
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in (part for whole in batches for part in blocks(whole, "classes", 1 << 20)):
             padded, at, lengths = padded_texts(batch["classes"].tolist())
             each = np.concatenate([[0.0], np.cumsum(network.log_probabilities(padded, at) - inside[padded[at]])])
             ends = np.cumsum(lengths)
-            yield pd.DataFrame({"id": batch["id"], "n_tokens": lengths, "log_likelihood": each[ends] - each[ends - lengths]})
+            yield pd.DataFrame({"id": batch["id"], "row": batch["row"], "n_tokens": lengths, "log_likelihood": each[ends] - each[ends - lengths]})
 
-    return texts.mapInPandas(run, schema)
+    return texts.select("id", "row", "classes").mapInPandas(run, schema)
+
+
+def word_shares(texts: DataFrame, vocabulary: Vocabulary) -> DataFrame:
+    """``row`` and ``shares``: what the counts of its words add to a text's score, if that is not 0.
+
+    No word of the join is frequent, so its rows are dealt evenly.
+    """
+    others = texts.select("row", F.explode(F.arrays_zip("words", "times")).alias("of")).select("row", "of.words", "of.times")
+    joined = others.join(vocabulary.others, F.col("words") == F.col("word"))
+    parts = joined.select("row", (F.col("times") * F.col("share")).alias("shares"))
+    return parts.unionByName(texts.where("shares <> 0").select("row", "shares")).groupBy("row").agg(F.sum("shares").alias("shares"))
 
 
 def pseudo_likelihood(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -240,7 +295,8 @@ def pseudo_likelihood(docs: DataFrame, key: str = "doc_id", text: str = "text")
     Words are counted over the whole corpus. The most frequent have a class each, others share
     classes by hash. The network is trained on every document, one word in ``STRIDE`` masked in each
     round, by tasks side by side whose networks are averaged. A word's log-probability is that of its class
-    given two words on either side, less the logarithm of how many words the class has.
+    given two words on either side, plus the logarithm of the word's part of all occurrences of the class.
+    The driver and each task hold the counts of at most ``KNOWN_WORDS`` words; those of others are joined.
 
     Returns key, ``n_tokens``, ``log_likelihood`` (the sum) and ``mean_log_likelihood`` (null without words). Null
     and empty texts have no words and sum 0. Null keys and repeated rows are rows like others; of other
@@ -249,6 +305,7 @@ def pseudo_likelihood(docs: DataFrame, key: str = "doc_id", text: str = "text")
     rows = input_columns(docs, id=key, text=text)
     vocabulary = build_vocabulary(rows)
     texts = stored(_classes(rows, vocabulary), "word-classes")
-    found = score_texts(texts, train_network(texts, vocabulary), vocabulary)
+    found = score_texts(texts, train_network(texts, vocabulary), vocabulary).join(word_shares(texts, vocabulary), "row", "left")
+    found = found.withColumn("log_likelihood", F.col("log_likelihood") + F.coalesce("shares", F.lit(0.0)))
     mean = F.when(F.col("n_tokens") > 0, F.col("log_likelihood") / F.col("n_tokens"))
     return found.select(F.col("id").alias(key), "n_tokens", "log_likelihood", mean.alias("mean_log_likelihood"))

@@ -81,3 +81,28 @@ def test_messy_and_empty(spark):
     for r in rows:
         assert (r.n_tokens == 0) == (r.mean_log_likelihood is None) and r.log_likelihood <= 0
     assert pl.pseudo_likelihood(empty(spark)).count() == 0
+
+
+def test_words_of_a_class_count_as_often_as_they_occur(spark, monkeypatch):
+    from collections import Counter
+
+    monkeypatch.setattr(pl, "train_network", lambda texts, vocabulary: pl.Network.fresh(vocabulary.counts))
+    common = [f"w{i}" for i in range(pl.FREQUENT)] * 40
+    rare = [f"r{i}" for i in range(500) for _ in range(1 + i % 30)]
+    texts = [" ".join(common), " ".join(rare), "r29 r0 r29 w5 r30", None, "r29 r0 r29 w5 r30", "r59"]
+    docs = spark.createDataFrame([(None if i > 2 else 7, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    counted = Counter(w for t in texts for w in pl.words(t))
+    for known in (0, 100, 100_000):
+        monkeypatch.setattr(pl, "KNOWN_WORDS", known)
+        vocabulary = pl.build_vocabulary(input_columns(docs, id="doc_id", text="text"))
+        assert len(vocabulary.known) - pl.FREQUENT <= known and len(vocabulary.known) + vocabulary.others.count() == len(counted)
+        class_of = pl.ClassOf(vocabulary.frequent)
+        network = pl.Network.fresh(vocabulary.counts)
+
+        def want(text):
+            found = pl.words(text)
+            of_class = brute([class_of[w] for w in found], network, np.ones(pl.CLASSES))
+            return of_class + sum(math.log(counted[w] / vocabulary.counts[class_of[w]]) for w in found)
+
+        got = sorted(r.log_likelihood for r in pl.pseudo_likelihood(docs).collect())
+        assert np.allclose(got, sorted(map(want, texts)), rtol=1e-4, atol=1e-4)
