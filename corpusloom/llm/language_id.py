@@ -8,9 +8,9 @@ from functools import lru_cache
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
-from corpusloom.llm.tables import input_columns
+from corpusloom.llm.tables import input_columns, stored
 
 UNKNOWN = "und"
 ORDERS = (1, 2, 3, 4)
@@ -148,8 +148,8 @@ def train_language_model(docs: DataFrame, key: str = "doc_id", text: str = "text
     """Learn from the labelled rows of ``docs``.
 
     Document frequencies are counted over all rows. The regression is fitted on up to ``per_language``
-    documents of each language, those whose hashed keys are smallest; every fifth of them is held back
-    to fit the temperature. Rows with a null text or language teach nothing.
+    documents of each language, those whose hashes of key and text are smallest, repeated rows counting once;
+    every fifth of them is held back to fit the temperature. Rows with a null text or language teach nothing.
     """
     rows = input_columns(docs, id=key, text=text, lang=lang).where("text IS NOT NULL AND lang IS NOT NULL")
     frequencies, n = _document_frequencies(rows)
@@ -157,15 +157,23 @@ def train_language_model(docs: DataFrame, key: str = "doc_id", text: str = "text
 
     # The least hashes of each language, counted by leading bits: no language passes through one task.
     hashed = rows.withColumn("order", F.xxhash64("id", "text"))
-    cell = F.shiftright("order", 48).alias("cell")
-    cells = hashed.groupBy("lang", cell).agg(F.count(F.lit(1)).alias("n")).toPandas().sort_values(["lang", "cell"])
+    orders = stored(hashed.select("lang", "order").distinct(), "sample-orders")
+    high = F.shiftright("order", 48)
+    cells = orders.groupBy("lang", high.alias("cell")).agg(F.count(F.lit(1)).alias("n")).toPandas().sort_values(["lang", "cell"])
     ahead = cells.groupby("lang")["n"].cumsum() - cells["n"]
-    last = cells[ahead < per_language].groupby("lang")["cell"].max().to_dict()
-    if not last:
+    edge = cells[ahead < per_language].groupby("lang")["cell"].max().to_dict()
+    if not edge:
         return Model([], np.zeros((FEATURES, 0), "float32"), np.zeros(0), 1.0)
+    # In those cells, which hold few rows beyond the sample, each language is cut on its own.
+    near = F.lit(False)
+    for name, cut in edge.items():
+        near = near | ((F.col("lang") == name) & (high <= int(cut)))
+    rank = F.row_number().over(Window.partitionBy("lang").orderBy("order"))
+    ranked = orders.where(near).withColumn("rank", rank).where(F.col("rank") <= per_language)
+    last = {r.lang: r.last for r in ranked.groupBy("lang").agg(F.max("order").alias("last")).collect()}
     inside = F.lit(False)
     for name, cut in last.items():
-        inside = inside | ((F.col("lang") == name) & (F.shiftright("order", 48) <= int(cut)))
+        inside = inside | ((F.col("lang") == name) & (F.col("order") <= cut))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -175,9 +183,10 @@ def train_language_model(docs: DataFrame, key: str = "doc_id", text: str = "text
                 if len(at):
                     yield pd.DataFrame({"order": [order], "lang": [name], "at": [at.astype("<u2").tobytes()], "n": [total[at].astype("<i4").tobytes()]})
 
-    sample = hashed.where(inside).select("order", "lang", "text").mapInPandas(run, "order long, lang string, at binary, n binary")
+    once = hashed.where(inside).groupBy("lang", "order").agg(F.first("text").alias("text"))
+    sample = once.mapInPandas(run, "order long, lang string, at binary, n binary")
     # A few kilobytes a row, whatever the text: no more features than FEATURES, in six bytes each.
-    found = sample.orderBy("lang", "order").limit(2 * per_language * len(last)).collect()
+    found = sorted(sample.collect(), key=lambda r: (r.lang, r.order))
     languages = sorted({r.lang for r in found})
     labels = np.array([languages.index(r.lang) for r in found], "int64")
     vectors = []

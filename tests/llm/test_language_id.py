@@ -58,3 +58,19 @@ def test_temperature_calibrates():
     t = best_temperature(scores, labels)
     p = np.exp(9 / t) / (np.exp(9 / t) + 2)
     assert abs(p - 0.8) < 0.03
+
+
+def test_repeated_rows_leave_each_language_its_sample(spark, monkeypatch):
+    learned = []
+    train = language_id.train_ftrl
+    monkeypatch.setattr(language_id, "train_ftrl", lambda rows, labels, n: learned.append(np.bincount(labels)) or train(rows, labels, n))
+    texts = {"de": "der hund und die katze", "en": "the dog and a cat", "es": "el perro y los gatos"}
+    rows = [(i, f"{text} {chr(97 + i % 26) * (1 + i // 26)}", lang) for lang, text in texts.items() for i in range(40)]
+    rows += [(7, "ein hund", "de")] * 500 + [(None, "eine katze", "de")] * 500
+    model = train_language_model(spark.createDataFrame(rows, "doc_id long, text string, lang string"), per_language=20)
+    assert model.languages == ["de", "en", "es"] and learned[0].tolist() == [16, 16, 16]
+    # One cell that holds more than all languages may: the hashes of a language are cut, not the cell.
+    monkeypatch.setattr(language_id.F, "shiftright", lambda column, bits: F.col(column) * 0)
+    learned.clear()
+    model = train_language_model(spark.createDataFrame(rows, "doc_id long, text string, lang string"), per_language=5)
+    assert model.languages == ["de", "en", "es"] and learned[0].tolist() == [4, 4, 4]
