@@ -18,8 +18,8 @@ CLASSES, FREQUENT = 256, 191
 HASHED = CLASSES - 1 - FREQUENT
 WINDOW, HIDDEN = 2, 24
 OFFSETS = [o for o in range(-WINDOW, WINDOW + 1) if o]
-# Training: rounds over the corpus, every so many words masked in a round, and Adam's settings.
-ROUNDS, STRIDE, BATCH, RATE = 2, 8, 512, 0.01
+# Training: rounds over the corpus, which together mask each word once, and Adam's settings.
+ROUNDS, BATCH, RATE = 2, 2_048, 0.01
 BLOCK = 2_048
 CACHE_WORDS = 200_000
 # Frequent words whose counts go out with the tasks, at most; those of all others are joined.
@@ -165,17 +165,18 @@ class Network:
 
     def gradient(self, padded: np.ndarray, at: np.ndarray) -> list[np.ndarray]:
         h = self.hidden(padded, at)
-        p = h @ self.out + self.out_bias
-        p = np.exp(p - p.max(axis=1, keepdims=True))
+        p = h @ self.out
+        p += self.out_bias
+        p -= p.max(axis=1, keepdims=True)
+        np.exp(p, out=p)
         p /= p.sum(axis=1, keepdims=True)
         p[np.arange(len(at)), padded[at]] -= 1
         p /= len(at)
         back = (p @ self.out.T) * (1 - h * h)
-        tables = np.empty_like(self.tables)
-        for k, offset in enumerate(OFFSETS):
-            near = padded[at + offset]
-            for j in range(HIDDEN):
-                tables[k, :, j] = np.bincount(near, back[:, j], CLASSES)
+        tables, cells, of_cell = np.empty_like(self.tables), np.arange(HIDDEN), back.ravel()
+        for table, offset in zip(tables, OFFSETS, strict=True):
+            near = padded[at + offset][:, None] * HIDDEN + cells
+            table[:] = np.bincount(near.ravel(), of_cell, CLASSES * HIDDEN).reshape(CLASSES, HIDDEN)
         return [tables, back.sum(axis=0), h.T @ p, p.sum(axis=0)]
 
 
@@ -241,7 +242,7 @@ def _train_round(texts: DataFrame, network: Network, number: int) -> Network:
         learner, seen = Adam(network.filled(start.copy())), 0
         for batch in (part for whole in batches for part in blocks(whole, "classes")):
             padded, at, _ = padded_texts(batch["classes"].tolist())
-            at = at[number * STRIDE // ROUNDS :: STRIDE]
+            at = at[number::ROUNDS]
             at = at[np.random.default_rng(number).permutation(len(at))]
             for low in range(0, len(at), BATCH):
                 learner.learn(padded, at[low : low + BATCH])
@@ -293,8 +294,8 @@ def pseudo_likelihood(docs: DataFrame, key: str = "doc_id", text: str = "text")
     """Score each document by how well its words are predicted from their neighbours.
 
     Words are counted over the whole corpus. The most frequent have a class each, others share
-    classes by hash. The network is trained on every document, one word in ``STRIDE`` masked in each
-    round, by tasks side by side whose networks are averaged. A word's log-probability is that of its class
+    classes by hash. The network is trained on every word of every document, one in ``ROUNDS`` masked in
+    each round, by tasks side by side whose networks are averaged. A word's log-probability is that of its class
     given two words on either side, plus the logarithm of the word's part of all occurrences of the class.
     The driver and each task hold the counts of at most ``KNOWN_WORDS`` words; those of others are joined.
 

@@ -1,6 +1,7 @@
 import math
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import functions as F
 
 from corpusloom.llm import pseudo_likelihood as pl
@@ -106,3 +107,28 @@ def test_words_of_a_class_count_as_often_as_they_occur(spark, monkeypatch):
 
         got = sorted(r.log_likelihood for r in pl.pseudo_likelihood(docs).collect())
         assert np.allclose(got, sorted(map(want, texts)), rtol=1e-4, atol=1e-4)
+
+
+def test_rounds_together_mask_each_word_once(spark, monkeypatch):
+    rows = input_columns(spark.createDataFrame([(1, "a b c d e f g h i j k l m"), (2, "n o")], "doc_id long, text string"), id="doc_id", text="text")
+    vocabulary = pl.build_vocabulary(rows)
+    texts = pl.stored(pl._classes(rows.coalesce(1), vocabulary), "classes")
+    padded, places, _ = pl.padded_texts([r.classes for r in texts.collect()])
+    masked = []
+    monkeypatch.setattr(pl.Adam, "learn", lambda self, padded, at: masked.extend(at.tolist()))
+
+    # The rounds in this process, over all texts side by side.
+    class Local:
+        def select(self, _):
+            return self
+
+        def mapInPandas(self, run, _):
+            list(run(iter([pd.DataFrame({"classes": [r.classes for r in texts.collect()]})])))
+            raise StopIteration
+
+    for number in range(pl.ROUNDS):
+        try:
+            pl._train_round(Local(), pl.Network.fresh(vocabulary.counts), number)
+        except StopIteration:
+            pass
+    assert sorted(masked) == places.tolist()
