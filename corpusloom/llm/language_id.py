@@ -16,7 +16,7 @@ UNKNOWN = "und"
 ORDERS = (1, 2, 3, 4)
 FEATURES = 1 << 16
 # Labelled documents of each language that are learned from, and texts read in pieces of so many characters.
-SAMPLE_OF_LANGUAGE = 600
+SAMPLE_OF_LANGUAGE = 1_000
 PIECE = 1 << 16
 # Follow the regularised leader: learning rate, and the elastic net's two penalties.
 ALPHA, BETA, L1, L2 = 0.5, 1.0, 0.05, 0.5
@@ -31,24 +31,36 @@ def _letters() -> np.ndarray:
 
 
 def ngram_ids(text: str | None) -> Iterator[np.ndarray]:
-    """Hashed n-grams of the lower-cased letters, anything else being one space; in pieces of a long text."""
+    """Hashed n-grams of the lower-cased letters, anything else being one space; a long text in pieces, none lost between them."""
     text = (text or "").lower()
+    space, after_letter, tail = np.array([32], "uint64"), False, None
     for start in range(0, len(text), PIECE):
         codes = np.frombuffer(text[start : start + PIECE].encode("utf-32-le", "replace"), "<u4").astype("uint64")
         letter = _letters()[codes]
         keep = letter.copy()
         keep[1:] |= letter[:-1]
+        keep[0] |= after_letter
+        after_letter = letter[-1]
         codes = np.where(letter, codes, np.uint64(32))[keep]
-        codes = np.concatenate([[np.uint64(32)], codes, [np.uint64(32)]])
-        if not letter.any():
+        if tail is None:
+            if not letter.any():
+                continue
+            codes, tail = np.concatenate([space, codes]), codes[:0]
+        if start + PIECE >= len(text):
+            codes = np.concatenate([codes, space])
+        if not len(codes):
             continue
         found = []
         for n in ORDERS:
-            total = np.full(max(len(codes) - n + 1, 0), n, "uint64")
+            # Those that end in this piece.
+            near = np.concatenate([tail[max(len(tail) - n + 1, 0) :], codes])
+            size = max(len(near) - n + 1, 0)
+            total = np.full(size, n, "uint64")
             for i in range(n):
-                total = (total + codes[i : len(codes) - n + 1 + i]) * np.uint64(0x9E3779B97F4A7C15)
+                total = (total + near[i : size + i]) * np.uint64(0x9E3779B97F4A7C15)
                 total ^= total >> np.uint64(29)
             found.append(total)
+        tail = np.concatenate([tail, codes])[-max(ORDERS) + 1 :]
         yield (np.concatenate(found) % np.uint64(FEATURES)).astype("int64")
 
 

@@ -74,3 +74,12 @@ def test_repeated_rows_leave_each_language_its_sample(spark, monkeypatch):
     learned.clear()
     model = train_language_model(spark.createDataFrame(rows, "doc_id long, text string, lang string"), per_language=5)
     assert model.languages == ["de", "en", "es"] and learned[0].tolist() == [4, 4, 4]
+
+
+def test_no_ngram_is_lost_between_pieces(monkeypatch):
+    texts = ["a", " a", "a ", "abcdefg hij  12 klm", "  12 3 abc", "abc 12 3  ", "a 1 2 3 4 b", "ß日本 x" * 9, "12 34 56", "", None]
+    found = lambda t: np.sort(np.concatenate([np.zeros(0, "int64"), *ngram_ids(t)])).tolist()
+    whole = [found(t) for t in texts]
+    for piece in range(1, 9):
+        monkeypatch.setattr(language_id, "PIECE", piece)
+        assert [found(t) for t in texts] == whole, piece
