@@ -7,16 +7,19 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from corpusloom.llm.chunk_bpe import chunked_digests
 from corpusloom.llm.decontaminate import contamination
 from corpusloom.llm.exact_dedup import exact_duplicates
 from corpusloom.llm.language_id import held_out, predict_language, train_language_model
 from corpusloom.llm.line_dedup import dedup_lines
 from corpusloom.llm.ngram_join import jaccard_components
+from corpusloom.llm.phrases import phrases
 from corpusloom.llm.pieces import round_trip_pieces
 from corpusloom.llm.pseudo_likelihood import pseudo_likelihood
 from corpusloom.llm.sharding import shard_rows
 from corpusloom.llm.token_store import id_digests, read_index, write_ids
 from corpusloom.llm.url_filter import judge_urls
+from corpusloom.llm.whitening import whiten
 from corpusloom.shared import new_path
 
 SHARDS = 24
@@ -83,6 +86,19 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", "n_ids", "ids_crc32", "same", digest)
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = whiten(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+    return rows.withColumn("deviation", F.col("deviation").cast("long"))
+
+
+def op12_chunk_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chunked_digests(documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"))
+
+
+def op13_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases(documents(spark, sf_dir))
+
+
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_lm_scoring": op1_lm_scoring,
@@ -95,4 +111,7 @@ def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_ngram_join": op8_ngram_join,
         "op9_url_filters": op9_url_filters,
         "op10_sentencepiece": op10_sentencepiece,
+        "op11_whitening": op11_whitening,
+        "op12_chunk_bpe": op12_chunk_bpe,
+        "op13_phrases": op13_phrases,
     }

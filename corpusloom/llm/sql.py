@@ -73,6 +73,27 @@ m AS (SELECT p.page_id, p.host, p.path, r.host || r.path AS rule, r.verdict,
 SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM m WHERE k = 1
 """
 
+OP13 = r"""
+WITH t AS (SELECT coalesce(lang, 'und') AS lang, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS x FROM documents),
+p AS (SELECT lang, unnest(string_split_regex(x, '[.,;:!?\x0A-\x0D]')) AS piece FROM t),
+w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM p),
+total AS (SELECT lang, sum(len(w))::BIGINT AS n FROM w GROUP BY 1),
+g AS (SELECT lang, w, unnest(range(1, len(w) + 1)) AS i FROM w),
+f AS (SELECT lang, k, array_to_string(w[i:i + k - 1], ' ') AS phrase, count(*) AS f
+      FROM g, (VALUES (1), (2), (3), (4)) AS v(k) WHERE i + k - 1 <= len(w) GROUP BY ALL HAVING count(*) >= 30),
+c AS (SELECT lang, k, phrase, f AS a, string_split(phrase, ' ') AS w FROM f WHERE k > 1),
+cut AS (SELECT lang, k, phrase, a, w, unnest(range(1, k)) AS j FROM c),
+scored AS (SELECT cut.lang, cut.phrase, cut.a, cut.j, x.f AS l, y.f AS r, ((2000000::HUGEINT * cut.a) // (x.f + y.f))::BIGINT AS score
+           FROM cut JOIN f x ON x.lang = cut.lang AND x.phrase = array_to_string(cut.w[1:j], ' ')
+                    JOIN f y ON y.lang = cut.lang AND y.phrase = array_to_string(cut.w[j + 1:], ' ')),
+lowest AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, j) = 1),
+span AS (SELECT lang, w, a, m, unnest(range(1, k - m + 2)) AS i FROM c, (VALUES (2), (3)) AS v(m) WHERE m < k),
+longer AS (SELECT lang, array_to_string(w[i:i + m - 1], ' ') AS phrase, max(a) AS a FROM span GROUP BY 1, 2),
+kept AS (SELECT lowest.* FROM lowest LEFT JOIN longer USING (lang, phrase) WHERE longer.a IS NULL OR 100 * longer.a < 80 * lowest.a)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score
+FROM kept JOIN total USING (lang) QUALIFY rank <= 2000
+"""
+
 
 def llm_sql() -> dict[str, str]:
-    return {"op3_exact_dedup": OP3, "op4_line_dedup": OP4, "op6_decontamination": OP6, "op8_ngram_join": OP8, "op9_url_filters": OP9}
+    return {"op3_exact_dedup": OP3, "op4_line_dedup": OP4, "op6_decontamination": OP6, "op8_ngram_join": OP8, "op9_url_filters": OP9, "op13_phrases": OP13}

@@ -16,4 +16,4 @@ def test_registered():
     import __spark_entry__ as contract
 
     assert set(llm_queries()) | {"pipeline"} <= set(contract.queries())
-    assert [n.split("_")[0] for n in llm_queries()] == [f"op{i}" for i in range(1, 11)]
+    assert [n.split("_")[0] for n in llm_queries()] == [f"op{i}" for i in range(1, 14)]

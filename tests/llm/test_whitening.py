@@ -1,0 +1,120 @@
+import numpy as np
+import pytest
+
+from corpusloom.llm import whitening as module
+from corpusloom.llm.whitening import bidiagonal, principal_directions, singular_squares, whiten
+
+SF_DIR = "/root/testdata/sf0.01"
+
+
+def brute(rows, k=8):
+    x = np.floor(1024 * np.array([v for _, v in rows], "float64")) + 100_000
+    values, vectors = np.linalg.eigh(np.cov(x.T, bias=True).reshape(x.shape[1], -1))
+    values, vectors = values[::-1], vectors[:, ::-1]
+    white = (x - x.mean(axis=0)) @ vectors[:, :k] / np.sqrt(values[:k])
+    whole = [[int(a) for a in row] for row in x]
+    sums = [sum(column) for column in zip(*whole, strict=True)]
+    deviation = [sum((len(x) * a - s) ** 2 for a, s in zip(row, sums, strict=True)) for row in whole]
+    return white, values[:k] / values.sum(), deviation
+
+
+def as_arrays(df):
+    rows = df.toPandas().sort_values(["vec_id", "component"])
+    white = rows.pivot(index="vec_id", columns="component", values="whitened").to_numpy()
+    return rows, white
+
+
+def test_equals_brute_force(spark):
+    df = spark.read.parquet(f"{SF_DIR}/embeddings.parquet")
+    rows, white = as_arrays(whiten(df))
+    source = sorted((r.vec_id, r.embedding) for r in df.collect())
+    right, explained, deviation = brute(source)
+    white = white * np.sign((white * right).sum(axis=0))
+    assert np.abs(white - right).max() < 1e-9
+    assert np.allclose(rows["explained"].to_numpy().reshape(-1, 8), explained, rtol=1e-10)
+    assert [int(d) for d in rows["deviation"]] == [d for d in deviation for _ in range(8)]
+    assert set(rows["n"]) == {len(source)}
+    assert rows["identity_error"].nunique() == 1 and rows["identity_error"].iloc[0] < 1e-9
+
+
+@pytest.mark.parametrize("size", [1, 2, 3, 10, 64])
+@pytest.mark.parametrize("shape", ["plain", "scaled", "repeated", "constant", "equal"])
+def test_directions_equal_a_library(size, shape):
+    rng = np.random.default_rng(size)
+    a = rng.standard_normal((max(2 * size, 5), size))
+    if shape == "scaled":
+        a *= 10.0 ** rng.uniform(-8, 3, size)
+    if shape == "repeated":
+        a[:, -1] = a[:, 0]
+    if shape == "constant":
+        a[:] = 1.0
+    if shape == "equal":
+        a = np.vstack([np.eye(size)] * 2)
+    r = np.linalg.qr(a, mode="r")
+    k = min(8, size)
+    squares, vectors = principal_directions(r, k)
+    assert np.allclose(np.sqrt(squares), np.linalg.svd(r, compute_uv=False), rtol=1e-12, atol=1e-12 * np.abs(r).max())
+    assert np.abs(vectors.T @ vectors - np.eye(k)).max() < 1e-11
+    assert np.abs(r.T @ r @ vectors - vectors * squares[:k]).max() < 1e-12 * squares[0]
+
+
+def test_small_singular_values_keep_their_digits():
+    # Graded: eigenvalue methods on the product lose all digits of the least value.
+    diagonal, upper = 10.0 ** -np.arange(0, 40, 4.0), 10.0 ** -np.arange(1, 37, 4.0)
+    found = np.sqrt(singular_squares(diagonal, upper))
+    assert np.isclose(np.prod(found / diagonal), 1.0, rtol=1e-12)
+    assert singular_squares(np.zeros(3), np.zeros(2)).tolist() == [0.0] * 3
+
+
+def test_bidiagonal_form_keeps_the_matrix():
+    r = np.random.default_rng(0).standard_normal((7, 7))
+    diagonal, upper, v = bidiagonal(r)
+    b = np.diag(diagonal) + np.diag(upper, 1)
+    assert np.allclose(v @ b.T @ b @ v.T, r.T @ r)
+
+
+def test_many_blocks(spark, monkeypatch):
+    monkeypatch.setattr(module, "BLOCK_VALUES", 100)
+    monkeypatch.setattr(module, "FAN_IN", 2)
+    df = spark.read.parquet(f"{SF_DIR}/embeddings.parquet").repartition(9)
+    right, _, _ = brute(sorted((r.vec_id, r.embedding) for r in df.collect()))
+    _, white = as_arrays(whiten(df))
+    assert np.abs(white * np.sign((white * right).sum(axis=0)) - right).max() < 1e-9
+
+
+COLUMNS = "vec_id long, embedding array<double>, id long, v int, g int"
+
+
+def test_rows_that_go_and_rows_that_stay(spark):
+    bad = [None, [None, 1.0, 2.0], [float("nan"), 0.0, 1.0], [float("inf"), 0.0, 1.0]]
+    good = [[0.5, 0.25, -1.0], [0.5, 0.25, -1.0], [-3.0, 2.0, 1.0], [0.0, 0.0, 0.0], [1.0, -1.0, 5.0]]
+    rows = [(i, v, 1, 2, 3) for i, v in enumerate(bad)] + [(None, good[0], 1, 2, 3)] + [(10, v, 1, 2, 3) for v in good[1:]]
+    found = whiten(spark.createDataFrame(rows, COLUMNS)).collect()
+    assert len(found) == 15 and {r.n for r in found} == {5}
+    assert {r.vec_id for r in found} == {None, 10}
+    right, explained, deviation = brute([(0, v) for v in good])
+    assert sorted(round(abs(r.whitened), 9) for r in found) == sorted(np.abs(right).round(9).ravel().tolist())
+    assert sorted({int(r.deviation) for r in found}) == sorted(set(deviation))
+
+
+def test_no_variance_and_no_rows(spark):
+    rows = [(i, [1.0, 2.0], 1, 2, 3) for i in range(4)]
+    found = whiten(spark.createDataFrame(rows, COLUMNS)).collect()
+    assert len(found) == 8 and {(r.whitened, r.explained, r.identity_error, int(r.deviation)) for r in found} == {(None, 0.0, 0.0, 0)}
+    line = whiten(spark.createDataFrame([(i, [float(i), 2.0 * i], 1, 2, 3) for i in range(4)], COLUMNS)).collect()
+    assert {r.component for r in line if r.whitened is None} == {2} and all(r.identity_error < 1e-9 for r in line)
+    assert whiten(spark.createDataFrame([(1, None, 1, 2, 3), (2, [], 1, 2, 3)], COLUMNS)).count() == 0
+    assert whiten(spark.createDataFrame([], COLUMNS)).columns[:2] == ["vec_id", "component"]
+
+
+def test_lengths_and_sizes_that_cannot_be_are_errors(spark):
+    with pytest.raises(ValueError, match="different lengths"):
+        whiten(spark.createDataFrame([(1, [1.0], 1, 2, 3), (2, [1.0, 2.0], 1, 2, 3)], COLUMNS))
+    with pytest.raises(Exception, match="too large"):
+        whiten(spark.createDataFrame([(1, [1e300], 1, 2, 3), (2, [1.0], 1, 2, 3)], COLUMNS))
+
+
+def test_long_deviations_are_exact(spark):
+    rows = [(i, [4e9 * (i % 3), -3e9 * i], 1, 2, 3) for i in range(50)]
+    found = {(r.vec_id, int(r.deviation)) for r in whiten(spark.createDataFrame(rows, COLUMNS)).collect()}
+    assert found == set(enumerate(brute([(i, v) for i, v, *_ in rows])[2]))
