@@ -16,6 +16,8 @@ NGRAM = 3
 PERCENT = 90
 # Ratio of the sizes at the ends of a band.
 BAND = 1.5
+# Ways to cut a set into parts.
+CUTS = 6
 # Shingles of one tile: 16 MB of hashes.
 TILE_SHINGLES = 2_000_000
 
@@ -37,26 +39,43 @@ def _most_differences(largest: int, percent: int) -> int:
     return 2 * largest * (100 - percent) // (100 + percent)
 
 
+def _parts(shingles: np.ndarray, parts: int, cut: int) -> tuple[np.ndarray, np.ndarray]:
+    """What each of the parts of a set holds, as one number, and which hold fewer than two elements."""
+    place = mix(shingles ^ np.uint64(cut * 0x9E3779B97F4A7C15 & 0xFFFFFFFFFFFFFFFF)) if cut else shingles
+    scrambled = mix(shingles + np.uint64(1))
+    if cut:
+        order = np.argsort(place)
+        place, scrambled = place[order], scrambled[order]
+    ends = np.searchsorted((place >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32), np.arange(parts + 1))
+    total = np.concatenate([[np.uint64(0)], np.cumsum(scrambled, dtype="uint64")])
+    return total[ends[1:]] - total[ends[:-1]], np.diff(ends) < 2
+
+
 def tile_keys(shingles: np.ndarray, percent: int) -> np.ndarray:
     """Keys of the tiles a set belongs to; sets that are linked share at least one.
 
     In a band, hash ranges cut a set into ``differences + spare`` parts, of which linked sets have
-    ``spare`` or more in common. A key stands for band, part and all that the part holds. Parts of
-    fewer than two elements are left out where fewer than ``spare`` are that small: then linked
-    sets still share a larger one.
+    ``spare`` or more in common. A key stands for band, cut, part and all that the part holds. Parts of fewer than
+    two elements, which unrelated sets share by chance, give no key; where fewer than ``spare`` are that small, linked
+    sets still share a larger one. Where more are, the set is cut another way as well, and so on; only a set that is
+    short of larger parts in all ``CUTS`` gives the keys of small parts, of the first cut. Two linked sets that are
+    both short in a cut both go on to the next, so they meet in the first cut in which one of them is not short.
     """
     keys = [np.empty(0, "uint64")]
-    scrambled = np.concatenate([[np.uint64(0)], np.cumsum(mix(shingles + np.uint64(1)), dtype="uint64")])
     for band, largest in _bands(len(shingles), percent):
         differences = _most_differences(largest, percent)
         spare = 1 + differences // 12
-        parts = np.uint64(differences + spare)
-        ends = np.searchsorted((shingles >> np.uint64(32)) * parts >> np.uint64(32), np.arange(int(parts) + 1))
-        content = scrambled[ends[1:]] - scrambled[ends[:-1]]
-        small = np.diff(ends) < 2
-        label = np.arange(int(parts), dtype="uint64") * np.uint64(4_096) + np.uint64(band)
-        of_band = mix(content + mix(label + np.uint64(1)))
-        keys.append(of_band if small.sum() >= spare else of_band[~small])
+        parts = differences + spare
+        for cut in range(CUTS + 1):
+            content, small = _parts(shingles, parts, cut % CUTS)
+            label = np.arange(parts, dtype="uint64") * np.uint64(4_096) + np.uint64(cut % CUTS * 512 + band)
+            of_cut = mix(content + mix(label + np.uint64(1)))
+            if cut == CUTS:
+                keys.append(of_cut[small])
+                break
+            keys.append(of_cut[~small])
+            if small.sum() < spare:
+                break
     return np.concatenate(keys)
 
 
@@ -132,16 +151,36 @@ def _tile(n: int, percent: int):
     return run
 
 
-def _candidate_edges(signatures: DataFrame) -> DataFrame:
-    """Classes that share a tile, each with the least of its tile."""
+def _clusters(signatures: DataFrame) -> DataFrame:
+    """``node, component``: classes that share tiles, directly or over others.
+
+    Each class has one edge, to the least of all classes in its tiles; then classes are replaced by what
+    these edges connect, and only tiles that still hold different ones go on. A tile whose members
+    agree has nothing left to connect. So no round has more edges than classes.
+    """
     members = signatures.select(F.explode("keys").alias("key"), "d1")
     shared = members.groupBy("key").agg(F.min("d1").alias("u"), F.max("d1").alias("high"), F.count(F.lit(1)).alias("rows"))
     shared = stored(shared.where("u <> high").select("key", "u", "rows"), "shared-tiles")
     if shared.count() <= BROADCAST_ROWS:
-        edges = members.join(F.broadcast(shared.select("key", "u")), "key")
+        members = members.join(F.broadcast(shared.select("key", "u")), "key")
     else:
-        edges = join_hot(members, shared, ["key"], "rows")
-    return edges.where("u <> d1").select("u", F.col("d1").alias("v")).distinct()
+        members = join_hot(members, shared, ["key"], "rows").drop("rows")
+    members = stored(members.select("key", F.col("d1").alias("label"), "u").distinct(), "members")
+    # A class that is the least of its tiles has no edge yet if their other members found a lesser one elsewhere.
+    names = members.select(F.col("label").alias("node"), F.col("label").alias("component")).distinct()
+    while True:
+        edges = members.groupBy(F.col("label").alias("v")).agg(F.min("u").alias("u")).where("u <> v")
+        found = connected_components(edges)
+        further = found.select(F.col("node").alias("component"), F.col("component").alias("further"))
+        names = names.join(further, "component", "left")
+        names = stored(names.select("node", F.coalesce("further", "component").alias("component")), "clusters")
+        joined = members.select("key", "label").join(found, F.col("label") == F.col("node"), "left")
+        joined = joined.select("key", F.coalesce("component", "label").alias("label")).distinct()
+        ends = joined.groupBy("key").agg(F.min("label").alias("u"), F.max("label").alias("high"), F.count(F.lit(1)).alias("rows"))
+        joined, ends = stored(joined, "members"), stored(ends.where("u <> high").drop("high"), "open-tiles")
+        if ends.limit(1).count() == 0:
+            return names
+        members = stored(join_hot(joined, ends, ["key"], "rows").drop("rows"), "members")
 
 
 def _tiles(nodes: DataFrame, percent: int) -> DataFrame:
@@ -197,7 +236,8 @@ def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text",
 
     Returns key, ``n_shingles`` and ``component_id``, the smallest key reachable by links, itself
     included, for each row; a null key counts as none, and is returned only if no other is reachable.
-    Repeated rows are rows like others. Of other columns none is read.
+    Repeated rows are rows like others; texts of any length are read whole; an empty table gives no rows. Of other
+    columns none is read.
     """
     if not 50 <= percent <= 100:
         raise ValueError("percent must be between 50 and 100")
@@ -214,7 +254,7 @@ def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text",
     one_set = F.when(F.col("low") != F.col("high"), F.raise_error(F.lit("different sets share a hash"))).otherwise(F.col("d1"))
     classes = stored(classes.select(one_set.alias("d1"), "least.id", "least.h", "n", "rows"), "classes")
 
-    clusters = connected_components(_candidate_edges(some))
+    clusters = _clusters(some)
     nodes = clusters.join(classes.withColumnRenamed("d1", "node"), "node").withColumnRenamed("node", "d1")
     nodes = stored(nodes.select("d1", "component", "id", "h", "n"), "candidates")
     tiles = _tiles(nodes, percent)

@@ -88,3 +88,45 @@ def test_links_connect_what_is_linked_without_all_pairs():
     assert len(tile_links(sets, np.full(59, 2), 90)) == 58
     assert len(tile_links(sets, np.arange(59) % 2, 90)) == 58
     assert tile_links(sets[:2], np.array([0, 0]), 90) == []
+
+
+def near(draw, a, percent):
+    changes = int(draw.integers(0, max(1, len(a) * (100 - percent) // 100) + 1))
+    new = draw.integers(0, 1 << 63, changes - changes // 2).astype("uint64") * np.uint64(2)
+    return np.unique(np.concatenate([a[draw.permutation(len(a))[changes // 2 :]], new]))
+
+
+@pytest.mark.parametrize("percent,cuts", [(90, 6), (90, 1), (90, 2), (80, 3), (60, 2), (100, 6)])
+def test_linked_sets_share_a_key_however_often_they_are_cut(monkeypatch, percent, cuts):
+    monkeypatch.setattr(ngram_join, "CUTS", cuts)
+    draw = np.random.default_rng(percent + cuts)
+    linked = 0
+    for _ in range(1_500):
+        a = np.unique(draw.integers(0, 1 << 63, int(draw.integers(1, 130))).astype("uint64") * np.uint64(2))
+        b = near(draw, a, percent)
+        common = len(np.intersect1d(a, b))
+        if len(b) and 100 * common >= percent * (len(a) + len(b) - common):
+            linked += 1
+            assert np.intersect1d(tile_keys(a, percent), tile_keys(b, percent)).size
+    assert linked > 300
+
+
+def test_unrelated_sets_share_no_more_tiles_as_they_grow_in_number():
+    draw = np.random.default_rng(9)
+    shares = []
+    for n in (4_000, 16_000):
+        seen = Counter()
+        keys = []
+        for size in draw.integers(20, 90, n):
+            keys.append(tile_keys(np.unique(draw.integers(0, 1 << 64, int(size), dtype="uint64")), 90))
+            seen.update(keys[-1].tolist())
+        shares.append(1_000 * sum(any(seen[k] > 1 for k in one.tolist()) for one in keys) / n)
+    assert max(shares) < 1.0
+
+
+def test_a_chain_of_tiles_is_one_cluster(spark):
+    # Labels whose least neighbours differ take several rounds.
+    rows = [(i, [i // 2 * 2 + 1_000, (i + 1) // 2 * 2 + 5_001]) for i in range(40)] + [(i, [9_000 + i % 3]) for i in range(100, 140)]
+    table = spark.createDataFrame(rows, "d1 long, keys array<long>")
+    found = Counter(r.component for r in ngram_join._clusters(table).collect())
+    assert found == {0: 40, 100: 14, 101: 13, 102: 13}
