@@ -18,12 +18,16 @@ from tokenizers import Tokenizer
 from corpusloom.llm.tables import input_columns
 
 # A chunk ends where the hash of the last 32 bytes has this many leading zero bits; least and most bytes.
-CUT_BITS, LEAST_CHUNK, MOST_CHUNK = 8, 64, 2_048
+CUT_BITS, LEAST_CHUNK, MOST_CHUNK = 9, 64, 2_048
 # Chunks that are encoded once for the whole corpus and sent to all tasks: those that save most. 2 KB each at most.
-SHARED_CHUNKS, SHARED_BYTES = 32_768, 2_048
+SHARED_CHUNKS, SHARED_BYTES = 16_384, 2_048
+# Hashes of chunks that a task remembers while it counts.
+SEEN_CHUNKS = 500_000
 # Bytes of chunks, and words between white space, that a worker remembers besides; longer words are not remembered.
-MEMORY_BYTES, MEMORY_WORDS, LONG_WORD = 32 << 20, 400_000, 64
-BLOCK_BYTES = 1 << 22
+MEMORY_BYTES, MEMORY_WORDS, LONG_WORD = 16 << 20, 300_000, 64
+# Words that go to the library as one text.
+MARKED_WORDS = 4_096
+BLOCK_BYTES = 1 << 21
 
 _WINDOW = 32
 _GEAR = np.random.default_rng(20_240_229).integers(0, 1 << 32, 256, dtype="uint32")
@@ -112,8 +116,12 @@ class ChunkedBpe:
         self.chunks: dict[bytes, bytes] = {}
         self.size = 0
         self.words: dict[bytes, bytes] = {}
+        self.older: dict[bytes, bytes] = {}
         spec = json.loads(tokenizer_json)
         self.lowers = any(s["type"] == "Lowercase" for s in _steps(spec))
+        marks = [t for t in spec.get("added_tokens") or [] if t.get("special") and not t.get("normalized")]
+        self.mark = (marks[0]["content"].encode(), marks[0]["id"]) if marks else None
+        self.raw = [t["content"].encode() for t in spec.get("added_tokens") or []]
         self.written = [t["content"].encode().lower() for t in spec.get("added_tokens") or []]
         n = max(self.tokenizer.get_vocab(with_added_tokens=True).values(), default=-1) + 1
         self.names = [(self.tokenizer.id_to_token(i) or "").encode() for i in range(n)]
@@ -122,6 +130,11 @@ class ChunkedBpe:
         encodings = self.tokenizer.encode_batch_fast([t.decode() for t in texts], add_special_tokens=False)
         return [np.array(e.ids, "<u4").tobytes() for e in encodings]
 
+    def decode(self, ids: bytes) -> bytes:
+        """What the library's ``decode(ids, skip_special_tokens=False)`` gives where a tokenizer names no decoder."""
+        names = self.names
+        return b" ".join([names[i] for i in np.frombuffer(ids, "<u4").tolist()])
+
     def plain(self, text: bytes) -> bytes:
         """A text with the same ids and fewer different words."""
         if self.lowers and text.isascii():
@@ -132,28 +145,44 @@ class ChunkedBpe:
 
     def encoded(self, texts: list[bytes]) -> list[bytes]:
         """Ids of chunks or parts of them, word by word; words not seen before go to the library together."""
-        words = self.words
         split = [self.plain(text).split() for text in texts]
-        new = [w for w in dict.fromkeys(chain.from_iterable(split)) if w not in words]
-        fresh = dict(zip(new, self.library(new), strict=True)) if new else {}
-        if len(words) + len(fresh) > MEMORY_WORDS:
-            known = words | fresh
-            words.clear()
-        else:
-            known = words
-        known.update(fresh)
-        out = [b"".join(map(known.__getitem__, some)) for some in split]
-        if known is not words:
-            words.update(fresh)
-        for word in new:
-            if len(word) > LONG_WORD:
-                words.pop(word, None)
+        flat = list(chain.from_iterable(split))
+        ids = list(map(self.words.get, flat))
+        missed = {w for w, i in zip(flat, ids, strict=True) if i is None}
+        if missed:
+            fresh = {w: self.older[w] for w in missed if w in self.older}
+            new = [w for w in missed if w not in fresh]
+            fresh.update(zip(new, self.new_words(new), strict=True))
+            ids = [fresh[w] if i is None else i for w, i in zip(flat, ids, strict=True)]
+            if len(self.words) > MEMORY_WORDS:
+                # Words met again since the last change stay known, others go.
+                self.older, self.words = self.words, {}
+            self.words.update((w, i) for w, i in fresh.items() if len(w) <= LONG_WORD)
+        out, low = [], 0
+        for some in split:
+            out.append(b"".join(ids[low : low + len(some)]))
+            low += len(some)
         return out
 
-    def decode(self, ids: bytes) -> bytes:
-        """What the library's ``decode(ids, skip_special_tokens=False)`` gives where a tokenizer names no decoder."""
-        names = self.names
-        return b" ".join([names[i] for i in np.frombuffer(ids, "<u4").tolist()])
+    def new_words(self, words: list[bytes]) -> list[bytes]:
+        """Ids of words: many as one text, between marks that the tokenizer takes out of a text before all else."""
+        if self.mark is None:
+            return self.library(words)
+        mark, number = self.mark
+        odd = {w: self.library([w])[0] for w in words if any(t in w for t in self.raw)}
+        plain = [w for w in words if w not in odd]
+        found: list[bytes] = []
+        for low in range(0, len(plain), MARKED_WORDS):
+            part = plain[low : low + MARKED_WORDS]
+            [data] = self.library([mark.join(part)])
+            at = np.flatnonzero(np.frombuffer(data, "<u4") == number) * 4
+            if len(at) != len(part) - 1:
+                raise RuntimeError("marks between words were not found again")
+            found += [data[i:j] for i, j in zip([0, *(at + 4).tolist()], [*at.tolist(), len(data)], strict=True)]
+        if not odd:
+            return found
+        others = iter(found)
+        return [odd[w] if w in odd else next(others) for w in words]
 
     def block(self, texts: list[bytes]) -> Iterator[bytes]:
         """Ids of some texts; their new chunks go to the library together."""
@@ -255,39 +284,34 @@ def _limited(batches: Iterator[pd.DataFrame]) -> Iterator[list[bytes]]:
 
 
 def _chunk_counts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Chunks of each block by hash, with their text where a task has met one twice."""
+    seen: set[int] = set()
+    given: set[int] = set()
     for texts in _limited(batches):
         some = [c for chunks in chunks_of(texts) for c in chunks if len(c) <= SHARED_BYTES]
         hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, some), "uint64", len(some)).view("int64")
         found, at, n = np.unique(hashes, return_index=True, return_counts=True)
+        keys = found.tolist()
+        twice = [(k in seen or m > 1) and k not in given for k, m in zip(keys, n.tolist(), strict=True)]
+        given.update(k for k, t in zip(keys, twice, strict=True) if t)
+        seen.update(keys)
+        if len(seen) > SEEN_CHUNKS:
+            seen.clear()
+            given.clear()
+        text = [some[i] if t else None for i, t in zip(at.tolist(), twice, strict=True)]
         size = np.fromiter(map(len, some), "int64", len(some))[at]
-        yield pd.DataFrame({"h": found, "n": n, "size": size})
+        yield pd.DataFrame({"h": found, "n": n, "size": size, "chunk": text})
 
 
 def shared_chunks(rows: DataFrame, tokenizer_json: str) -> dict[bytes, bytes]:
     """Ids of the chunks that occur more than once and save most, at most ``SHARED_CHUNKS``, each encoded once.
 
-    Chunks are counted over the whole corpus by hash. All others are encoded by the workers that meet them.
+    Chunks are counted over the whole corpus by hash; the text comes from a task that met the chunk twice. All
+    others are encoded by the workers that meet them.
     """
-    counts = rows.select("text").mapInPandas(_chunk_counts, "h long, n long, size long")
-    counts = counts.groupBy("h").agg(F.sum("n").alias("n"), F.max("size").alias("size")).where("n > 1")
-    best = counts.orderBy(F.desc(F.expr("(n - 1) * size")), "h").limit(SHARED_CHUNKS)
-    wanted = {r.h for r in best.select("h").collect()}  # at most SHARED_CHUNKS numbers
-    if not wanted:
-        return {}
-    known = rows.sparkSession.sparkContext.broadcast(wanted)
-
-    def texts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        given: set[int] = set()
-        for some in _limited(batches):
-            out = {}
-            for chunks in chunks_of(some):
-                for chunk in chunks:
-                    if len(chunk) <= SHARED_BYTES:
-                        h = int(np.uint64(xxhash.xxh3_64_intdigest(chunk)).view("int64"))
-                        if h in known.value and h not in given:
-                            given.add(h)
-                            out[h] = chunk
-            yield pd.DataFrame({"h": list(out), "chunk": list(out.values())})
+    counts = rows.select("text").mapInPandas(_chunk_counts, "h long, n long, size long, chunk binary")
+    counts = counts.groupBy("h").agg(F.sum("n").alias("n"), F.max("size").alias("size"), F.max("chunk").alias("chunk"))
+    best = counts.where(F.col("chunk").isNotNull()).orderBy(F.desc(F.expr("(n - 1) * size")), "h").limit(SHARED_CHUNKS)
 
     def ids(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -295,8 +319,7 @@ def shared_chunks(rows: DataFrame, tokenizer_json: str) -> dict[bytes, bytes]:
         for batch in batches:
             yield pd.DataFrame({"chunk": batch["chunk"], "ids": encoder.encoded(list(batch["chunk"]))})
 
-    one = rows.select("text").mapInPandas(texts, "h long, chunk binary").groupBy("h").agg(F.min("chunk").alias("chunk"))
-    found = one.select("chunk").mapInPandas(ids, "chunk binary, ids binary").collect()
+    found = best.select("chunk").mapInPandas(ids, "chunk binary, ids binary").collect()
     return {bytes(r.chunk): bytes(r.ids) for r in found}
 
 

@@ -46,7 +46,7 @@ def test_mixed_texts_equal_the_library():
 
 
 def test_short_chunks_and_small_memories(monkeypatch):
-    for name, value in [("CUT_BITS", 2), ("LEAST_CHUNK", 3), ("MOST_CHUNK", 12), ("MEMORY_BYTES", 500), ("MEMORY_WORDS", 50), ("BLOCK_BYTES", 300)]:
+    for name, value in [("CUT_BITS", 2), ("LEAST_CHUNK", 3), ("MOST_CHUNK", 12), ("MEMORY_BYTES", 500), ("MEMORY_WORDS", 50), ("MARKED_WORDS", 3), ("BLOCK_BYTES", 300)]:
         monkeypatch.setattr(module, name, value)
     check(mixed(2_000, 2))
 
