@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import json
+import re
 import uuid
 import zlib
 from collections.abc import Iterable, Iterator
@@ -25,17 +26,23 @@ HEADER = len(MAGIC) + 32
 # The dictionary is trained on up to so many documents, and so many bytes of each.
 SAMPLE_DOCUMENTS, SAMPLE_BYTES, DICTIONARY_BYTES = 1_000, 16_384, 65_536
 LEVEL = 3
-# Chunks a worker remembers, of some 200 bytes each; new chunks encoded in one call; characters of texts encoded together.
-CACHE_CHUNKS, NEW_CHUNKS, GROUP_CHARACTERS = 600_000, 1_000, 1 << 20
+# Chunks a worker remembers, of some 200 bytes each, twice over; new chunks encoded in one call; characters of texts encoded together.
+CACHE_CHUNKS, NEW_CHUNKS, GROUP_CHARACTERS = 300_000, 1_000, 1 << 20
 # Neighbouring frames are read together up to this size.
 READ_BYTES = 8 << 20
 
+# The pattern of byte-level pre-tokenizers cuts before a space that a visible character follows (not before one inside
+# other white space), and between an ASCII letter or digit and a stop or comma. `\\s` here is no narrower than there.
+_CUT, _UNCUT = re.compile(r" (?=\S)"), re.compile(r" (?:\s|$)")
+_WORD_END = re.compile(r"(?<=[a-zA-Z0-9])(?=[.,])")
+# Stands before a chunk that no space precedes; texts that hold it are encoded whole.
+_BARE = "\0"
 
 
 class ChunkEncoder:
-    """Ids of texts, chunk by chunk between spaces, as little-endian unsigned 32-bit integers.
+    """Ids of texts, chunk by chunk, as little-endian unsigned 32-bit integers.
 
-    A byte-level pre-tokenizer always cuts before a single space, so the library can encode chunks apart
+    A byte-level pre-tokenizer always cuts at the places above, so the library can encode chunks apart
     from their text; those seen before are remembered. New chunks go to the library many at a time, as
     one text, whose ids are cut where a token begins with the space. Where a tokenizer or a text
     is not like that, whole texts are encoded.
@@ -47,12 +54,13 @@ class ChunkEncoder:
         cuts = spec.get("pre_tokenizer") or {}
         self.by_chunk = (
             cuts.get("type") == "ByteLevel" and not cuts.get("add_prefix_space") and cuts.get("use_regex", True)
-            and not spec.get("normalizer") and not any(" " in t["content"] for t in spec.get("added_tokens") or [])
+            and not spec.get("normalizer") and not any(re.search(r"[\s.,]", t["content"]) for t in spec.get("added_tokens") or [])
         )
         vocabulary = self.tokenizer.get_vocab()
         self.spaced = np.zeros(max(vocabulary.values(), default=-1) + 1, bool)
         self.spaced[[i for token, i in vocabulary.items() if "\u0120" in token]] = True  # the space, as tokens show it
         self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
     def _ids(self, text: str) -> np.ndarray:
         return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
@@ -68,31 +76,52 @@ class ChunkEncoder:
         data, cuts = ids.tobytes(), [*(starts * 4).tolist(), 4 * len(ids)]
         return [data[i:j] for i, j in zip(cuts, cuts[1:], strict=False)]
 
+    def _learn(self, missed: set[str]) -> dict[str, bytes]:
+        """Ids of chunks that are not known: from the older memory, or from the library."""
+        fresh = {chunk: self.older[chunk] for chunk in missed if chunk in self.older}
+        # A chunk that holds a space would be cut there as well: these go alone.
+        apart = [chunk for chunk in missed if chunk not in fresh and (chunk[0] == _BARE or " " in chunk)]
+        fresh.update((chunk, self.whole(chunk[1:] if chunk[0] == _BARE else " " + chunk)) for chunk in apart)
+        some = [chunk for chunk in missed if chunk not in fresh]
+        for low in range(0, len(some), NEW_CHUNKS):
+            block = some[low : low + NEW_CHUNKS]
+            fresh.update(zip(block, self._new(block), strict=True))
+        if len(self.known) > CACHE_CHUNKS:
+            # Chunks met again since the last change stay known, others go.
+            self.older, self.known = self.known, {}
+        self.known.update((chunk, ids) for chunk, ids in fresh.items() if len(chunk) <= 64)
+        return fresh
+
     def _group(self, texts: list[str]) -> list[bytes]:
-        found: list[tuple[list[str], list[bytes | None]]] = []
-        new: dict[str, bytes] = {}
+        whole: list[bytes | None] = []
+        flat: list[str] = []
+        sizes: list[int] = []
         for text in texts:
-            if not self.by_chunk or "  " in text or not text:
-                found.append(([], [self.whole(text) if text else b""]))
+            if not text or not self.by_chunk or _BARE in text:
+                whole.append(self.whole(text) if text else b"")
                 continue
-            chunks = text.split(" ")
-            ids = list(map(self.known.get, chunks))
-            ids[0] = self.whole(chunks[0]) if chunks[0] else b""
-            new.update((chunk, b"") for chunk, i in zip(chunks, ids, strict=True) if i is None)
-            found.append((chunks, ids))
-        some = [chunk for chunk in new if chunk]
-        for low in range(0, len(some), NEW_CHUNKS):
-            block = some[low : low + NEW_CHUNKS]
-            new.update(zip(block, self._new(block), strict=True))
-        if "" in new:
-            new[""] = self.whole(" ")
-        if len(self.known) + len(new) > CACHE_CHUNKS:
-            self.known.clear()
-        self.known.update((chunk, ids) for chunk, ids in new.items() if len(chunk) <= 64)
-        whole = []
-        for chunks, ids in found:
-            whole.append(b"".join([new[c] if i is None else i for c, i in zip(chunks, ids, strict=True)] if chunks else ids))
-        return whole
+            marked = _WORD_END.sub(" " + _BARE, text)
+            chunks = _CUT.split(marked) if _UNCUT.search(marked) else marked.split(" ")
+            # Nothing, or no space, precedes the first.
+            if chunks[0]:
+                chunks[0] = _BARE + chunks[0]
+            else:
+                del chunks[0]
+            whole.append(None)
+            sizes.append(len(chunks))
+            flat += chunks
+        ids = list(map(self.known.get, flat))
+        missed = {chunk for chunk, i in zip(flat, ids, strict=True) if i is None}
+        if missed:
+            fresh = self._learn(missed)
+            ids = [fresh[chunk] if i is None else i for chunk, i in zip(flat, ids, strict=True)]
+        out, low, of = [], 0, iter(sizes)
+        for done in whole:
+            if done is None:
+                high = low + next(of)
+                done, low = b"".join(ids[low:high]), high
+            out.append(done)
+        return out
 
     def encode_all(self, texts: Iterable[str | None]) -> Iterator[bytes]:
         """Ids of each text, in order; null as empty. A group of texts at a time is held as chunks."""
@@ -154,8 +183,10 @@ def write_ids(docs: DataFrame, tokenizer_path: str, path: str, key: str = "doc_i
     in any store pyarrow opens.
 
     A task that runs again writes a new file; the index names only files of tasks that ended. Null texts are
-    empty; null keys come first; equal keys are ordered by a hash of the text. Only the two named
-    columns are read.
+    empty; null keys come first; equal keys are ordered by a hash of the text and dealt to several files by it. An empty
+    table gives an index without rows. Texts of any length are encoded whole, one frame each. The dictionary is fitted on a
+    bounded sample: ``SAMPLE_DOCUMENTS`` documents, ``SAMPLE_BYTES`` of the ids of each. Only the two named columns are read,
+    whatever others are called.
     """
     spark, tokenizer_json = docs.sparkSession, Path(tokenizer_path).read_text()
     rows = input_columns(docs, id=key, text=text)
@@ -196,7 +227,7 @@ def write_ids(docs: DataFrame, tokenizer_path: str, path: str, key: str = "doc_i
             if file is not None:
                 file.close()
 
-    ordered = rows.withColumn("h", F.xxhash64("text")).repartitionByRange("id").sortWithinPartitions("id", "h").drop("h")
+    ordered = rows.withColumn("h", F.xxhash64("text")).repartitionByRange("id", "h").sortWithinPartitions("id", "h").drop("h")
     ordered.mapInPandas(run, schema).write.parquet(f"{path}/index")
     index = spark.read.schema(schema).parquet(f"{path}/index")
     # One row for each file.

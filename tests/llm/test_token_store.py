@@ -23,6 +23,29 @@ def test_chunks_equal_whole_texts():
         assert encoder.encode(text) == encoder.whole(text)
 
 
+def test_spaces_inside_other_white_space():
+    content = open(PATH).read()
+    tokenizer, encoder = Tokenizer.from_str(content), ChunkEncoder(content)
+    draw = random.Random(2)
+    parts = ["a", "B7", " ", " ", "  ", "\n", "\t", "\u00a0", "\u0085", "\u2003", "\u3000", "\x1c", "\x0b", "é", "\u0301", "'s", " 's", "!", ".", ",",
+             "...", "5.5", "1", "²", "中", "🙂", "<|endoftext|>", "the ", "\0", "\r\n", "\u200b", "\ufeff"]
+    texts = ["x \xa0 \xa0 y", "x\n \xa0 \xa0\nz", "a\xa0 \xa0 \xa0 b", " ", "x ", " .", ".a", "a. b"]
+    texts += ["".join(draw.choice(parts) for _ in range(draw.choice([2, 5, 20, 100]))) for _ in range(20_000)]
+    for text, ids in zip(texts, encoder.encode_all(texts), strict=True):
+        assert np.frombuffer(ids, "<u4").tolist() == tokenizer.encode(text, add_special_tokens=False).ids, repr(text)
+
+
+def test_one_repeated_key_goes_to_several_files(spark):
+    docs = spark.createDataFrame([(None if i % 2 else 7, f"text number {i} " * 40) for i in range(4_000)], "doc_id long, text string")
+    path = new_path(spark, "ids")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # small parts would be put together again
+    write_ids(docs, PATH, path)
+    spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert read_index(spark, path).select("file").distinct().count() > 2
+    starts = [(r.doc_id is not None, r.start) for r in id_digests(read_index(spark, path), path).collect()]
+    assert [i for i, _ in sorted(starts, key=lambda r: r[1])] == [False] * 2_000 + [True] * 2_000
+
+
 def expected():
     tokenizer = Tokenizer.from_file(PATH)
     order = sorted(TEXTS, key=lambda r: (r[0] is not None, r[0] or 0))
