@@ -2,9 +2,10 @@
 
 A word is a string in which one character stands for one symbol, so applying a
 merge is ``replace(word, pair, new_symbol)`` and counting pairs is counting
-two-character substrings. Words and counts of three adjacent symbols are kept as tables. A round brings
-back the best pairs and what stands next to them, never more than ``_LISTED``
-pairs, takes every merge whose turn is certain from that, and counts again only the words it changes.
+two-character substrings. A round brings back the best pairs, never more than ``_LISTED``, and what often stands
+next to them, takes every merge whose turn is certain from that, and writes the words anew, each changed one
+with the three adjacent symbols it lost and gained. These changes stand beside the counts of the start, as nothing but
+sums are read, and are merged into them every ``_LOGS`` rounds: no round shuffles what it does not ask for.
 """
 
 from __future__ import annotations
@@ -26,9 +27,9 @@ MIN_FREQUENCY = 2
 
 # Stands for the end of a word; no symbol is code point 0.
 _END = "\0"
-# Pairs listed in a round, and merges replayed before the word table is written anew.
+# Pairs listed in a round, and rounds whose changes are read beside the counts they change.
 _LISTED = 256
-_REPLAYED = 64
+_LOGS = 4
 # Words in a partition of the word table, at most.
 _WORDS_A_TASK = 1_000_000
 
@@ -121,37 +122,48 @@ def _respelled(column: str, merges: Sequence[tuple[str, str]]) -> Column:
     )
 
 
-def _replay(words: DataFrame, merges: Sequence[tuple[str, str]]) -> DataFrame:
-    """Apply merges; words of one symbol have no pairs left."""
-    return words.select("n", _respelled("word", merges).alias("word")).where(F.length("word") > 1)
+def _threes(word: Column) -> Column:
+    """Each three adjacent symbols, and the last two with ``_END``: every pair is the head of exactly one."""
+    return F.regexp_extract_all(F.concat(word, F.lit(_END)), F.lit("(?s)(?=(...))"), F.lit(1))
 
 
-def _triples(words: DataFrame) -> DataFrame:
-    """Rows ``(three, count)``: three adjacent symbols, or the last two and ``_END``.
+def _summed(triples: DataFrame) -> DataFrame:
+    return triples.groupBy("three").agg(F.sum("count").alias("count")).where("count <> 0")
 
-    One pass over the words serves the whole round: every pair but for its end is
-    the head of exactly one triple.
-    """
-    threes = F.regexp_extract_all(
-        F.concat("word", F.lit(_END)), F.lit("(?s)(?=(...))"), F.lit(1)
-    )
-    return (
-        words.select("n", F.explode(threes).alias("three"))
-        .groupBy("three")
-        .agg(F.sum("n").alias("count"))
+
+def _triples(words: DataFrame) -> DataFrame:
+    """Rows ``(three, count)`` of all words."""
+    return _summed(words.select(F.col("n").alias("count"), F.explode(_threes(F.col("word"))).alias("three")))
+
+
+def _held(letters: Iterable[str]) -> str:
+    """A class of characters for a pattern."""
+    return "[" + "".join(f"\\x{{{ord(c):X}}}" for c in sorted(set(letters))) + "]"
+
+
+def _merged(words: DataFrame, taken: Sequence[tuple[str, str]]) -> DataFrame:
+    """All words after the ``taken`` merges; ``change`` lists the triples that a word lost and gained."""
+    # Only words that may hold a pair are spelled anew.
+    may = F.col("word").rlike(_held(p[0] for p, _ in taken) + _held(p[1] for p, _ in taken))
+    spelled = words.where(F.length("word") > 1).select("n", "word", F.when(may, _respelled("word", taken)).otherwise(F.col("word")).alias("new"))
+    changed = spelled.select("n", F.col("new").alias("word"), F.when(F.col("new") != F.col("word"), F.struct(
+        _threes(F.col("word")).alias("lost"), _threes(F.col("new")).alias("gained"))).alias("c"))
+    # What a word has before and after cancels out, unless it has some triple twice.
+    once = F.expr("size(array_distinct(c.lost)) = size(c.lost) and size(array_distinct(c.gained)) = size(c.gained)")
+    lost = F.when(once, F.array_except("c.lost", "c.gained")).otherwise(F.col("c.lost"))
+    gained = F.when(once, F.array_except("c.gained", "c.lost")).otherwise(F.col("c.gained"))
+    change = F.concat(
+        F.transform(lost, lambda t: F.struct(t.alias("three"), (-F.col("n")).alias("count"))),
+        F.transform(gained, lambda t: F.struct(t.alias("three"), F.col("n").alias("count"))),
     )
+    return changed.select("n", "word", F.when(F.col("c").isNotNull(), change).alias("change"))
 
 
-def _recounted(triples: DataFrame, words: DataFrame, replayed: Sequence[tuple[str, str]],
-               taken: Sequence[tuple[str, str]]) -> DataFrame:
-    """Triple counts after the ``taken`` merges: only words that hold one of them are counted again."""
-    before = words.select("n", _respelled("word", replayed).alias("old"))
-    changed = before.withColumn("new", _respelled("old", taken)).where("old <> new")
-    both = changed.select(F.explode(F.array(
-        F.struct((-F.col("n")).alias("n"), F.col("old").alias("word")), F.struct("n", F.col("new").alias("word"))
-    )).alias("w")).select("w.n", "w.word")
-    whole = triples.unionByName(_triples(both))
-    return whole.groupBy("three").agg(F.sum("count").alias("count")).where("count <> 0")
+def _with_changes(base: DataFrame, logs: Sequence[DataFrame]) -> DataFrame:
+    """Counts and their changes; what belongs together is still to be summed."""
+    for log in logs:
+        base = base.unionByName(log.select(F.explode("change").alias("c")).select("c.three", "c.count"))
+    return base
 
 
 def _best_pairs(triples: DataFrame) -> list[Row]:
@@ -165,13 +177,15 @@ def _best_pairs(triples: DataFrame) -> list[Row]:
     )
 
 
-def _surroundings(triples: DataFrame, pairs: list[str]) -> list[Row]:
+def _surroundings(triples: DataFrame, pairs: list[str], least: int) -> list[Row]:
     """What stands left and right of each listed pair, one row a pair and side.
 
-    ``down`` and ``next`` are minus the count and the symbol of the most frequent
-    neighbour; ``shared`` lists the overlaps with other listed pairs.
+    ``near`` lists minus the count and the symbol of each neighbour that is there ``least`` times or more, so a pair has
+    no more than its count over ``least``; ``shared`` lists the overlaps with other listed pairs.
     """
     listed = ", ".join(_quoted(p) for p in pairs)
+    wanted = triples.where(F.right("three", F.lit(1)) != _END)
+    wanted = _summed(wanted.where(f"left(three, 2) in ({listed}) or right(three, 2) in ({listed})"))
     seen = F.expr(
         "array(named_struct('pair', left(three, 2), 'side', 'right',"
         "                   'other', right(three, 2), 'next', right(three, 1)),"
@@ -179,71 +193,98 @@ def _surroundings(triples: DataFrame, pairs: list[str]) -> list[Row]:
         "                   'other', left(three, 2), 'next', left(three, 1)))"
     )
     overlap = F.expr(f"if(other in ({listed}), struct(other, count), null)")
+    often = F.when(F.col("count") >= least, F.struct((-F.col("count")).alias("down"), "next"))
     return (
-        triples.where(F.right("three", F.lit(1)) != _END)
-        .select("count", F.explode(seen).alias("s"))
+        wanted.select("count", F.explode(seen).alias("s"))
         .select("count", "s.*")
         .where(f"pair in ({listed})")
         .groupBy("pair", "side")
-        .agg(
-            F.min(F.struct((-F.col("count")).alias("down"), "next")).alias("most"),
-            # Listed pairs only, so at most _LISTED entries.
-            F.collect_list(overlap).alias("shared"),
-        )
+        # Listed pairs and frequent neighbours only.
+        .agg(F.collect_list(often).alias("near"), F.collect_list(overlap).alias("shared"))
         .collect()
     )
 
 
+class _Queue:
+    """Pairs by count down, then symbols up. An unsure pair has no more than its count here."""
+
+    def __init__(self, count: dict[str, int]):
+        self.count, self.unsure, self.made = dict(count), set(), set()
+        self.heap = [(-n, pair) for pair, n in count.items()]
+        heapq.heapify(self.heap)
+
+    def add(self, pair: str, n: int, sure: bool) -> None:
+        """A pair that a merge has made."""
+        self.count[pair] = n
+        self.made.add(pair)
+        if not sure:
+            self.unsure.add(pair)
+        heapq.heappush(self.heap, (-n, pair))
+
+    def first(self) -> tuple[int, str] | None:
+        """Take the first pair out."""
+        while self.heap:
+            down, pair = heapq.heappop(self.heap)
+            if -down == self.count.get(pair):
+                return down, pair
+            if pair in self.count and -down > self.count[pair]:
+                heapq.heappush(self.heap, (-self.count[pair], pair))
+        return None
+
+
 def _certain_merges(best: list[Row], around: list[Row], vocab: Vocabulary, room: int,
                     least: int) -> list[tuple[str, str]]:
     """The merges of this round, in order.
 
-    A merge lowers the counts of the pairs it overlaps and makes new pairs, each
-    at most as frequent as the three symbols it comes from. The next merge is
-    certain while its own count is known exactly, it ranks before every possible
-    new pair, and before every pair that is not listed.
+    A merge lowers the counts of the pairs it overlaps and makes new ones, each as frequent as the three symbols it
+    comes from. Such a count is exact while no earlier merge of the round has used the outer two symbols from the other
+    side; else it is an upper bound, and the pair is unsure. A made pair can be merged in turn; what stands next to
+    it is not known, so all pairs that may overlap it become unsure, and they bound those it makes. The next
+    merge is certain while it ranks before every unsure pair and every pair that is not listed.
     """
-    count = {r["pair"]: r["count"] for r in best}
     sides = {(r["pair"], r["side"]): r for r in around}
-    touched: dict[str, str] = {}
-    unsure = set()
     floor = (-best[-1]["count"], best[-1]["pair"]) if len(best) == _LISTED else None
-    first_new = None
-    queue = [(-n, pair) for pair, n in count.items()]
-    heapq.heapify(queue)
+    queue = _Queue({r["pair"]: r["count"] for r in best})
+    # Second symbols and first symbols of the merges so far.
+    ended: set[str] = set()
+    begun: set[str] = set()
+    touched: dict[str, str] = {}
     taken: list[tuple[str, str]] = []
-    while queue and len(taken) < room:
-        down, pair = heapq.heappop(queue)
-        if -down != count[pair]:
-            heapq.heappush(queue, (-count[pair], pair))
-            continue
-        if -down < max(least, 1) or pair in unsure:
-            break
-        if floor is not None and (down, pair) > floor:
-            break
-        if first_new is not None and (down, pair) > first_new:
+    merged: set[str] = set()
+    while len(taken) < room and (first := queue.first()) is not None:
+        down, pair = first
+        if -down < max(least, 1) or pair in queue.unsure or floor is not None and first > floor:
             break
         known = vocab.joined(pair) in vocab.ids
         new = vocab.merge(pair)
         taken.append((pair, new))
+        merged.add(pair)
+        del queue.count[pair]
         if known or pair[0] == pair[1]:
             break
+        left, right = pair
         for side, hit in (("left", "right"), ("right", "left")):
-            row = sides.get((pair, side))
-            if row is None:
-                continue
-            near = row["most"]["next"]
-            made = near + new if side == "left" else new + near
-            made_key = (row["most"]["down"], made)
-            first_new = made_key if first_new is None else min(first_new, made_key)
-            for overlap in row["shared"]:
+            for overlap in sides[pair, side]["shared"] if (pair, side) in sides else ():
                 other = overlap["other"]
-                one_sided = touched.get(other, hit) == hit
-                if pair in touched or not one_sided or other[0] == other[1]:
-                    unsure.add(other)
+                if other in merged:
+                    continue
+                exact = other[0] not in ended and right not in begun if side == "left" else left not in ended and other[1] not in begun
+                if not exact or touched.setdefault(other, hit) != hit or other[0] == other[1]:
+                    queue.unsure.add(other)
                 else:
-                    touched[other] = hit
-                    count[other] -= overlap["count"]
+                    queue.count[other] -= overlap["count"]
+        ended.add(right)
+        begun.add(left)
+        # Of pairs beside a made one, or made ones beside this, it is not known how often they stand there.
+        some = queue.count if pair in queue.made else queue.made
+        queue.unsure.update(p for p in some if p[1] == left or p[0] == right)
+        for side in ("left", "right"):
+            for near in sides[pair, side]["near"] if (pair, side) in sides else ():
+                symbol_of = near["next"]
+                if side == "left" and symbol_of + left not in merged:
+                    queue.add(symbol_of + new, -near["down"], symbol_of not in ended and right not in begun)
+                if side == "right" and right + symbol_of not in merged:
+                    queue.add(new + symbol_of, -near["down"], left not in ended and symbol_of not in begun)
     return taken
 
 
@@ -302,21 +343,23 @@ def _train(df: DataFrame, kind: str, size: int, least: int, special_tokens: Sequ
     words = counts.repartition(tasks).select("n", spelled.alias("word"))
     words, words_path = _stored(words.where(F.length("word") > 1), "symbols")
     triples, triples_path = _stored(_triples(words), "triples")
-    replayed: list[tuple[str, str]] = []
+    paths, logs = [words_path, triples_path], []
     while len(vocab.tokens) < size:
-        best = _best_pairs(triples)
+        counts_now = _with_changes(triples, logs)
+        best = _best_pairs(counts_now)
         if not best or best[0]["count"] < max(least, 1):
             break
-        around = _surroundings(triples, [r["pair"] for r in best])
+        lowest = best[-1]["count"] if len(best) == _LISTED else max(least, 1)
+        around = _surroundings(counts_now, [r["pair"] for r in best], lowest)
         taken = _certain_merges(best, around, vocab, size - len(vocab.tokens), least)
-        newer, newer_path = _stored(_recounted(triples, words, replayed, taken), "triples")
-        remove_path(spark, triples_path)
-        triples, triples_path = newer, newer_path
-        replayed += taken
-        if len(replayed) >= _REPLAYED:
-            newer, newer_path = _stored(_replay(words, replayed), "symbols")
-            remove_path(spark, words_path)
-            words, words_path, replayed = newer, newer_path, []
+        words, words_path = _stored(_merged(words, taken), "symbols")
+        logs.append(words)
+        paths.append(words_path)
+        if len(logs) == _LOGS:
+            triples, triples_path = _stored(_summed(_with_changes(triples, logs)), "triples")
+            for path in paths[:-1]:
+                remove_path(spark, path)
+            paths, logs = [words_path, triples_path], []
 
     vocab_rows = [(t, i, t in special_tokens) for i, t in enumerate(vocab.tokens)]
     merge_rows = [(i, *m) for i, m in enumerate(vocab.merges)]

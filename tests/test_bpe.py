@@ -41,7 +41,7 @@ def listed(words, limit):
     return [{"pair": p, "count": n} for p, n in best]
 
 
-def surroundings(words, pairs):
+def surroundings(words, pairs, least=1):
     threes = Counter()
     for word, n in words:
         for a, b, c in zip(word, word[1:], word[2:]):
@@ -58,8 +58,7 @@ def surroundings(words, pairs):
                 if other in pairs:
                     row["shared"].append({"other": other, "count": n})
     for row in rows.values():
-        down, near = min(row["all"])
-        row["most"] = {"down": down, "next": near}
+        row["near"] = [{"down": down, "next": near} for down, near in row["all"] if -down >= least]
     return list(rows.values())
 
 
@@ -86,7 +85,8 @@ def test_merges_of_a_round_equal_one_by_one(monkeypatch, limit):
             best = listed(words, limit)
             if not best or best[0]["count"] < max(least, 1):
                 break
-            around = surroundings(words, {r["pair"] for r in best})
+            lowest = best[-1]["count"] if len(best) == limit else max(least, 1)
+            around = surroundings(words, {r["pair"] for r in best}, lowest)
             taken = bpe._certain_merges(best, around, vocabs[1], room - len(got), least)
             assert taken
             several += len(taken) > 1
