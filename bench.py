@@ -22,6 +22,8 @@ CPUS = os.environ.get("BENCH_CPUS", "8")
 RUNS = int(os.environ.get("BENCH_RUNS", "3"))
 
 ONCE = ["bpe_train", "bpe_train_byte"]
+# Large trainings: timed, but not part of the total, which stays comparable; the queries after them use what they learnt.
+LARGE = ["bpe_train_2000", "bpe_train_byte_2000"]
 REPEATED = [
     "split_counts",
     "split_exact",
@@ -56,17 +58,17 @@ def main() -> None:
     spark = session(CPUS)
     run(queries.word_counts_char(spark, SF_DIR))
     seconds = {}
-    for name in ONCE + REPEATED:
+    for name in ONCE + LARGE + REPEATED:
         query = queries.all_queries()[name]
         taken = []
-        for _ in range(1 if name in ONCE else RUNS):
+        for _ in range(RUNS if name in REPEATED else 1):
             start = time.perf_counter()
             run(query(spark, SF_DIR))
             taken.append(time.perf_counter() - start)
         seconds[name] = round(statistics.median(taken), 3)
     result = {
         "metric": "total_query_seconds",
-        "value": round(sum(seconds.values()), 3),
+        "value": round(sum(seconds[name] for name in ONCE + REPEATED), 3),
         "unit": "sec",
         "queries": seconds,
         "sf": SF_DIR.rsplit("sf", 1)[-1].strip("/"),

@@ -4,13 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from checks.sql import LARGE_VOCAB_SIZE, VOCAB_SIZE
 from corpusloom.functions.sequences import INTS
 from corpusloom.functions.text import BYTE_BPE, CHAR_BPE, char_words
 from corpusloom.operators import decode as decoding
-from corpusloom.operators import losses, scores, sequences, splits, stats, words
+from corpusloom.operators import losses, scores, scores_long, sequences, splits, stats, user_functions, words
 from corpusloom.operators.bpe import train_bpe
 from corpusloom.operators.encode import encode, with_ids
 from corpusloom.plans.build import model_ready
@@ -28,7 +30,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 CAPS = {"train": 300, "validation": 80}
 BATCH = 32
 
-_stored: dict[tuple[str, str, str], str] = {}
+_stored: dict[tuple[str, str, str, int], str] = {}
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -39,12 +41,12 @@ def split_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return splits.split_train_validation(documents(spark, sf_dir), "doc_id")
 
 
-def tokenizer(spark: SparkSession, sf_dir: str, kind: str = CHAR_BPE) -> Tokenizer:
+def tokenizer(spark: SparkSession, sf_dir: str, kind: str = CHAR_BPE, size: int = LARGE_VOCAB_SIZE) -> Tokenizer:
     """Trained on all documents, once for each session and folder."""
-    at = (spark.sparkContext.applicationId, sf_dir, kind)
+    at = (spark.sparkContext.applicationId, sf_dir, kind, size)
     if at not in _stored:
         path = new_path(spark, "tokenizer")
-        save_tokenizer(train_bpe(documents(spark, sf_dir), kind, VOCAB_SIZE), path)
+        save_tokenizer(train_bpe(documents(spark, sf_dir), kind, size), path)
         _stored[at] = path
     return load_tokenizer(spark, _stored[at])
 
@@ -170,15 +172,19 @@ def bpe_pair_counts_byte(spark, sf_dir):
 
 
 def bpe_train(spark, sf_dir):
-    return tokenizer(spark, sf_dir, CHAR_BPE).merges
+    return tokenizer(spark, sf_dir, CHAR_BPE, VOCAB_SIZE).merges
 
 
 def bpe_train_byte(spark, sf_dir):
-    return tokenizer(spark, sf_dir, BYTE_BPE).merges
+    return tokenizer(spark, sf_dir, BYTE_BPE, VOCAB_SIZE).merges
 
 
 def bpe_train_2000(spark, sf_dir):
-    return train_bpe(documents(spark, sf_dir), CHAR_BPE, LARGE_VOCAB_SIZE).merges
+    return tokenizer(spark, sf_dir, CHAR_BPE).merges
+
+
+def bpe_train_byte_2000(spark, sf_dir):
+    return tokenizer(spark, sf_dir, BYTE_BPE).merges
 
 
 def bpe_vocab(spark, sf_dir):
@@ -291,7 +297,7 @@ def round_trip_byte(spark, sf_dir):
 def train_metrics(spark, sf_dir):
     trained = train_on_corpus(
         documents(spark, sf_dir), "doc_id", new_path(spark, "trained"), "v1",
-        vocab_size=VOCAB_SIZE, on_unknown="unk",
+        vocab_size=LARGE_VOCAB_SIZE, on_unknown="unk",
     )
     return _rounded(trained.metrics, *_METRICS)
 
@@ -332,6 +338,63 @@ def cross_entropy(spark, sf_dir):
     return _rounded(scores.cross_entropy(_scores(spark, sf_dir)), "loss")
 
 
+def _long_scores(spark, sf_dir):
+    return _scores(spark, sf_dir).select("vec_id", F.posexplode("scores").alias("token_id", "score"))
+
+
+def softmax_long(spark, sf_dir):
+    return _rounded(scores_long.candidates_long(_long_scores(spark, sf_dir), "vec_id", 0.7), "prob")
+
+
+def topk_long(spark, sf_dir):
+    return _rounded(scores_long.candidates_long(_long_scores(spark, sf_dir), "vec_id", 0.2, top_k=5, top_p=0.9), "prob")
+
+
+def topp_long(spark, sf_dir):
+    return _rounded(scores_long.candidates_long(_long_scores(spark, sf_dir), "vec_id", 0.2, top_p=0.9), "prob")
+
+
+def draw_long(spark, sf_dir):
+    return scores_long.seeded_draw_long(_long_scores(spark, sf_dir), "vec_id", 0.2, top_p=0.9)
+
+
+def cross_entropy_long(spark, sf_dir):
+    targets = _scores(spark, sf_dir).select("vec_id", "target")
+    return _rounded(scores_long.cross_entropy_long(_long_scores(spark, sf_dir), targets, "vec_id"), "loss")
+
+
+def _lines(row: dict) -> dict:
+    return {"first_line": row["text"].split("\n")[0], "n_lines": row["text"].count("\n") + 1}
+
+
+def user_map_rows(spark, sf_dir):
+    found = user_functions.map_rows(documents(spark, sf_dir), _lines, ["text"], "first_line string, n_lines int", "doc_id")
+    return found.select("doc_id", "first_line", "n_lines")
+
+
+def _is_short(texts: pa.Array) -> pa.Array:
+    return pc.less(pc.utf8_length(texts), splits.MAX_TEXT_LENGTH)
+
+
+def user_filter_columns(spark, sf_dir):
+    return user_functions.filter_columns(documents(spark, sf_dir), _is_short, ["text"]).select("doc_id", "text")
+
+
+def _pad(batch: pa.Table) -> pa.Table:
+    """One end mark if there is room, then 0; outputs only 0."""
+    inputs, outputs = batch.column("input_ids").to_pylist(), batch.column("output_ids").to_pylist()
+    width = max(map(len, inputs))
+    x = [(i + [2] + [0] * width)[:width] for i in inputs]
+    y = [o + [0] * (width - len(o)) for o in outputs]
+    return pa.table({"doc_id": batch.column("doc_id"), "x": x, "y": y})
+
+
+def user_map_batches(spark, sf_dir):
+    rows = sequences.select_model_columns(_sequences(spark, sf_dir), "doc_id")
+    found = user_functions.map_batches(rows, _pad, "doc_id", "doc_id long, x array<int>, y array<int>", BATCH)
+    return found.select("split", "batch_id", "doc_id", _text("x"), _text("y"))
+
+
 def loss_log(spark, sf_dir):
     """Events as a loss log: batch numbers grow with time."""
     return spark.read.parquet(f"{sf_dir}/events.parquet").select(
@@ -391,6 +454,7 @@ def all_queries() -> dict[str, Query]:
         "bpe_train": bpe_train,
         "bpe_train_byte": bpe_train_byte,
         "bpe_train_2000": bpe_train_2000,
+        "bpe_train_byte_2000": bpe_train_byte_2000,
         "bpe_vocab": bpe_vocab,
         "bpe_vocab_byte": bpe_vocab_byte,
         "vocab_specials": vocab_specials,
@@ -415,6 +479,14 @@ def all_queries() -> dict[str, Query]:
         "topp_candidates": topp_candidates,
         "seeded_draw": seeded_draw,
         "cross_entropy": cross_entropy,
+        "softmax_long": softmax_long,
+        "topk_long": topk_long,
+        "topp_long": topp_long,
+        "draw_long": draw_long,
+        "cross_entropy_long": cross_entropy_long,
+        "user_map_rows": user_map_rows,
+        "user_filter_columns": user_filter_columns,
+        "user_map_batches": user_map_batches,
         "epoch_losses": epoch_losses,
         "running_loss": running_loss,
         "global_step": global_step,

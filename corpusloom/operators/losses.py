@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, functions as F
 
+from corpusloom.operators.ranking import join_null_safe
 from corpusloom.operators.splits import TRAIN, VALIDATION
 
 # Consecutive batch numbers that are summed in one task.
@@ -35,7 +36,8 @@ def running_loss(log: DataFrame, chunk: int = CHUNK) -> DataFrame:
     """Add ``avg_so_far``: the mean of the epoch's losses up to each batch.
 
     One epoch may be most of the log, so it is cut into chunks of batch numbers:
-    sums of whole chunks first, then a running sum inside each chunk.
+    sums of whole chunks first, then a running sum inside each chunk. A null run, epoch or split is a
+    value like others; null batch numbers come first; a null loss counts for nothing.
     """
     epoch = ["run", "epoch", "split"]
     chunked = log.withColumn("_chunk", F.floor(F.col("batch_num") / chunk))
@@ -53,11 +55,11 @@ def running_loss(log: DataFrame, chunk: int = CHUNK) -> DataFrame:
     )
     inside = Window.partitionBy(*epoch, "_chunk").orderBy("batch_num")
     inside = inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    total = F.col("_sum_before") + F.sum("loss").over(inside)
+    total = F.col("_sum_before") + F.coalesce(F.sum("loss").over(inside), F.lit(0.0))
     rows = F.col("_n_before") + F.count("loss").over(inside)
     return (
-        chunked.join(before, [*epoch, "_chunk"])
-        .withColumn("avg_so_far", total / rows)
+        join_null_safe(chunked, before, [*epoch, "_chunk"])
+        .withColumn("avg_so_far", F.when(rows > 0, total / rows))
         .select(*log.columns, "avg_so_far")
     )
 

@@ -14,6 +14,13 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from corpusloom.functions.ordering import as_keys, order_bucket, order_hash
 
 
+def join_null_safe(rows: DataFrame, table: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
+    """Join in which a null key is a key like any other; the columns of ``rows`` stay as they are."""
+    other = table.select(*[F.col(c).alias(f"_of_{c}") if c in keys else F.col(c) for c in table.columns])
+    same = [F.col(k).eqNullSafe(F.col(f"_of_{k}")) for k in keys]
+    return rows.join(other, same, how).drop(*[f"_of_{k}" for k in keys])
+
+
 def _with_order(df: DataFrame, key: str | Sequence[str], seeds: Sequence[object]) -> DataFrame:
     hashed = df.withColumn("_hash", order_hash(key, *seeds))
     return hashed.withColumn("_bucket", order_bucket(F.col("_hash")))
@@ -45,16 +52,15 @@ def with_rank(
     """Add ``rank`` (1, 2, ...) within each group, and the ``_bucket`` it comes from.
 
     Rows are shuffled once, by group and bucket. ``by`` names a few groups, such as splits: of each, 65,536
-    offsets are broadcast.
+    offsets are broadcast. Rows with null in ``by`` are a group of their own.
     """
     keys = as_keys(key)
     narrow = _with_order(df.select(*by, *keys), key, seeds)
     # At most 65,536 rows for each group.
-    offsets = F.broadcast(_bucket_offsets(narrow, by).select(*by, "_bucket", "_offset"))
+    offsets = _bucket_offsets(narrow, by).select(*by, "_bucket", "_offset")
     inside = Window.partitionBy(*by, "_bucket").orderBy("_hash", *keys)
     return (
-        _with_order(df, key, seeds)
-        .join(offsets, [*by, "_bucket"])
+        join_null_safe(_with_order(df, key, seeds), F.broadcast(offsets), [*by, "_bucket"])
         .withColumn("rank", F.col("_offset") + F.row_number().over(inside))
         .drop("_offset", "_hash")
     )
@@ -85,7 +91,7 @@ def quota_cutoffs(
     inside = Window.partitionBy(*by, "_bucket").orderBy("_hash", *keys)
     return (
         # One row for each group.
-        ordered.join(F.broadcast(last), [*by, "_bucket"])
+        join_null_safe(ordered, F.broadcast(last), [*by, "_bucket"])
         .withColumn("_row", F.row_number().over(inside))
         .where(F.col("_row") == F.col("_need"))
         .select(*by, F.struct("_hash", *keys).alias("cutoff"))

@@ -14,7 +14,7 @@ from corpusloom.functions.sequences import (
     pad_input,
     pad_output,
 )
-from corpusloom.operators.ranking import with_rank
+from corpusloom.operators.ranking import join_null_safe, with_rank
 from corpusloom.operators.splits import SEED
 
 # Fixed value: rows in a batch by default.
@@ -69,9 +69,9 @@ def padded_batches(
         with_rank(select_model_columns(df, key), **order)
         .withColumn("batch_id", batch)
         .withColumn("_width", F.max(F.size("input_ids")).over(in_bucket))
-        # Fewer rows than buckets, for each split.
-        .join(F.broadcast(crossing), ["split", "batch_id"], "left")
     )
+    # Fewer rows than buckets, for each split.
+    ranked = join_null_safe(ranked, F.broadcast(crossing), ["split", "batch_id"], "left")
     width = F.coalesce(F.col("_whole_width"), F.col("_width"))
     return ranked.select(
         "split",

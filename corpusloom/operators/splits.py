@@ -57,7 +57,7 @@ def cap_splits(
     seed: object = SEED,
     counted: DataFrame | None = None,
 ) -> DataFrame:
-    """Keep the first rows of each split in shuffled order, up to its cap.
+    """Keep the first rows of each split in shuffled order, up to its cap; splits without one, null too, stay whole.
 
     Keys and splits are counted in ``counted`` if a narrower table is at hand.
     """
@@ -72,7 +72,7 @@ def cap_splits(
     ).drop("_cap")
     # At most one row for each named split.
     placed = df.join(F.broadcast(cutoffs), "split", "left")
-    keep = ~F.col("split").isin(*caps) | (order_position(key, [seed]) <= F.col("cutoff"))
+    keep = ~F.coalesce(F.col("split").isin(*caps), F.lit(False)) | (order_position(key, [seed]) <= F.col("cutoff"))
     return placed.where(keep).drop("cutoff").select(*df.columns)
 
 
