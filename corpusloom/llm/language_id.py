@@ -10,7 +10,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
-from corpusloom.llm.tables import input_columns, stored
+from corpusloom.llm.tables import input_columns, released, stored
 
 UNKNOWN = "und"
 ORDERS = (1, 2, 3, 4)
@@ -18,6 +18,8 @@ FEATURES = 1 << 16
 # Labelled documents of each language that are learned from, and texts read in pieces of so many characters.
 SAMPLE_OF_LANGUAGE = 1_000
 PIECE = 1 << 16
+# Languages that can be learned (a megabyte of weights each on the driver while they are), and bytes of the sample there.
+MAX_LANGUAGES, SAMPLE_BYTES = 200, 256 << 20
 # Follow the regularised leader: learning rate, and the elastic net's two penalties.
 ALPHA, BETA, L1, L2 = 0.5, 1.0, 0.05, 0.5
 EPOCHS = 3
@@ -146,7 +148,7 @@ def _document_frequencies(rows: DataFrame) -> tuple[np.ndarray, int]:
         at = np.flatnonzero(total)
         yield pd.DataFrame({"feature": np.append(at, -1), "n": np.append(total[at], n)})
 
-    found = rows.select("text").mapInPandas(run, "feature long, n long").groupBy("feature").agg(F.sum("n").alias("n"))
+    found = rows.select("text").mapInPandas(released(run), "feature long, n long").groupBy("feature").agg(F.sum("n").alias("n"))
     frequencies, n = np.zeros(FEATURES, "int64"), 0
     for r in found.collect():  # at most FEATURES + 1 rows
         if r.feature < 0:
@@ -161,7 +163,10 @@ def train_language_model(docs: DataFrame, key: str = "doc_id", text: str = "text
 
     Document frequencies are counted over all rows. The regression is fitted on up to ``per_language``
     documents of each language, those whose hashes of key and text are smallest, repeated rows counting once;
-    every fifth of them is held back to fit the temperature. Rows with a null text or language teach nothing.
+    every fifth of them is held back to fit the temperature. Rows with a null text or language teach nothing; without any
+    nothing is learned. More than ``MAX_LANGUAGES`` languages are an error, and of a language whose sample takes more than its
+    share of ``SAMPLE_BYTES`` the last rows are left out. Rows are taken in the order of language and hash, so neither
+    partitions nor ties change the result; texts of any length are counted whole, in pieces.
     """
     rows = input_columns(docs, id=key, text=text, lang=lang).where("text IS NOT NULL AND lang IS NOT NULL")
     frequencies, n = _document_frequencies(rows)
@@ -171,6 +176,10 @@ def train_language_model(docs: DataFrame, key: str = "doc_id", text: str = "text
     hashed = rows.withColumn("order", F.xxhash64("id", "text"))
     orders = stored(hashed.select("lang", "order").distinct(), "sample-orders")
     high = F.shiftright("order", 48)
+    n_languages = orders.select("lang").distinct().limit(MAX_LANGUAGES + 1).count()
+    if n_languages > MAX_LANGUAGES:
+        raise ValueError(f"at most {MAX_LANGUAGES} languages can be learned")
+    # At most 65,536 rows a language.
     cells = orders.groupBy("lang", high.alias("cell")).agg(F.count(F.lit(1)).alias("n")).toPandas().sort_values(["lang", "cell"])
     ahead = cells.groupby("lang")["n"].cumsum() - cells["n"]
     edge = cells[ahead < per_language].groupby("lang")["cell"].max().to_dict()
@@ -196,8 +205,12 @@ def train_language_model(docs: DataFrame, key: str = "doc_id", text: str = "text
                     yield pd.DataFrame({"order": [order], "lang": [name], "at": [at.astype("<u2").tobytes()], "n": [total[at].astype("<i4").tobytes()]})
 
     once = hashed.where(inside).groupBy("lang", "order").agg(F.first("text").alias("text"))
-    sample = once.mapInPandas(run, "order long, lang string, at binary, n binary")
-    # A few kilobytes a row, whatever the text: no more features than FEATURES, in six bytes each.
+    sample = stored(once.mapInPandas(released(run), "order long, lang string, at binary, n binary"), "sample")
+    # Six bytes a feature, mostly a few kilobytes a row; of each language only as many rows as fit its share of the bytes.
+    size = F.octet_length("at") + F.octet_length("n")
+    earlier = Window.partitionBy("lang").orderBy("order").rowsBetween(Window.unboundedPreceding, -1)
+    sample = sample.withColumn("before", F.coalesce(F.sum(size).over(earlier), F.lit(0)))
+    sample = sample.where(F.col("before") + size <= SAMPLE_BYTES // len(edge)).drop("before")
     found = sorted(sample.collect(), key=lambda r: (r.lang, r.order))
     languages = sorted({r.lang for r in found})
     labels = np.array([languages.index(r.lang) for r in found], "int64")
@@ -217,7 +230,8 @@ def predict_language(docs: DataFrame, model: Model, key: str = "doc_id", text: s
     """Key, ``lang_pred`` and ``score`` (calibrated probability) of each whole text; one pass, no shuffle.
 
     A text that is null or has no letter is ``und`` with score 0, and so is every text if nothing was
-    learned. Only the text is an input. Null keys and repeated rows are rows like others.
+    learned. Only the text is an input. Null keys and repeated rows are rows like others; an empty table gives none; long
+    texts are read whole, in pieces.
     """
     rows = input_columns(docs, id=key, text=text)
     schema = T.StructType([
@@ -229,7 +243,7 @@ def predict_language(docs: DataFrame, model: Model, key: str = "doc_id", text: s
             found = [model.predict(t) for t in batch["text"]]
             yield pd.DataFrame({key: batch["id"], "lang_pred": [f[0] for f in found], "score": [f[1] for f in found]})
 
-    return rows.mapInPandas(run, schema)
+    return rows.mapInPandas(released(run), schema)
 
 
 def recognised(text: Column, model: Model, min_score: float) -> Column:

@@ -152,6 +152,13 @@ def line_classes(docs: DataFrame, key: str = "doc_id", text: str = "text", max_e
     return lines.select("a", "b", "first", "n").join(checked, ["a", "b"], "left")
 
 
+def _mask(gone: Column) -> Column:
+    """A byte for each line up to the last that goes, 1 for those that do, from their sorted numbers: as long as the text has lines."""
+    run = F.transform(gone, lambda p, i: F.concat(
+        F.repeat(F.lit("0"), p - F.when(i == 0, -1).otherwise(F.get(gone, i - 1)) - 1), F.lit("1")))
+    return F.array_join(run, "").cast("binary")
+
+
 def dedup_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", max_edits: int = MAX_EDITS) -> DataFrame:
     """Each text without the lines that came before, or nearly.
 
@@ -161,7 +168,8 @@ def dedup_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", max_ed
 
     Returns key, ``n_lines`` (blank ones too), ``n_dropped`` and ``text`` for each row. A null text stays null, with
     no lines. Rows that repeat key and text are one document and get the same result. Of
-    rows with the same key the order between texts is that of a hash. Of other columns none is read.
+    rows with the same key the order between texts is that of a hash. A text of any length and number of lines is one
+    row, whose lines that go are taken out in one walk; an empty table gives no rows. Of other columns none is read.
     """
     classes = stored(line_classes(docs, key, text, max_edits), "line-classes")
     touched = stored(classes.where("n > 1 OR near IS NOT NULL").select("a", "b", "first", "n", "near"), "touched-lines")
@@ -171,11 +179,13 @@ def dedup_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", max_ed
     else:
         hits = join_hot(at, touched, ["a", "b"], "n")
     is_first = F.col("id").eqNullSafe(F.col("first.id")) & (F.col("h") == F.col("first.h")) & (F.col("pos") == F.col("first.pos"))
-    gone = hits.where(F.col("near").isNotNull() | ~is_first).groupBy("id", "h").agg(F.collect_set("pos").alias("gone"))
-    rows = left_null_safe(_rows(docs, key, text), small_broadcast(stored(gone, "gone-lines"), F.size("gone")), ["id", "h"])
-    gone = F.coalesce("gone", F.array().cast("array<int>"))
-    kept = F.filter("lines", lambda line, i: ~F.array_contains(gone, i))
+    gone = hits.where(F.col("near").isNotNull() | ~is_first).groupBy("id", "h").agg(F.sort_array(F.collect_set("pos")).alias("gone"))
+    gone = stored(gone.select("id", "h", F.size("gone").alias("n_gone"), _mask(F.col("gone")).alias("mask")), "gone-lines")
+    rows = left_null_safe(_rows(docs, key, text), small_broadcast(gone, 1 + F.octet_length("mask") / 8), ["id", "h"])
+    # One byte of the mask for each line, found at once; none beyond the last line that goes.
+    goes = lambda i: F.coalesce(F.substring(F.col("mask"), i + 1, F.lit(1)) == F.lit(bytearray(b"1")), F.lit(False))
+    kept = F.filter("lines", lambda line, i: ~goes(i))
     return rows.select(
         F.col("id").alias(key), F.when(F.col("lines").isNull(), 0).otherwise(F.size("lines")).cast("long").alias("n_lines"),
-        F.size(gone).cast("long").alias("n_dropped"), F.array_join(kept, "\n").alias("text"),
+        F.coalesce("n_gone", F.lit(0)).cast("long").alias("n_dropped"), F.array_join(kept, "\n").alias("text"),
     )

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from corpusloom.llm.components import connected_components
 from corpusloom.llm.shingles import WordHashes, mix, shingle_set
-from corpusloom.llm.tables import BROADCAST_ROWS, blocks, input_columns, join_hot, small_broadcast, stored
+from corpusloom.llm.tables import BROADCAST_ROWS, blocks, input_columns, join_hot, released, small_broadcast, stored
 
 NGRAM = 3
 PERCENT = 90
@@ -86,7 +86,7 @@ def _signed(values: np.ndarray) -> np.ndarray:
 def _signatures(n: int, percent: int):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         hashes = WordHashes()
-        for batch in (part for whole in batches for part in blocks(whole, "text")):
+        for batch in (part for whole in batches for part in blocks(whole, "text", 1 << 20)):
             sets = [shingle_set(t, n, hashes) for t in batch["text"]]
             rows = batch[["id", "h"]].copy()
             rows["n"] = [len(s) for s in sets]
@@ -95,7 +95,7 @@ def _signatures(n: int, percent: int):
             rows["keys"] = [_signed(tile_keys(s, percent)) for s in sets]
             yield rows
 
-    return run
+    return released(run)
 
 
 def _bitmaps(sets: list[np.ndarray]) -> np.ndarray:

@@ -14,12 +14,14 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, types as T
 
-from corpusloom.llm.tables import blocks, input_columns
+from corpusloom.llm.tables import blocks, input_columns, released
 
 SPACE = "▁"
 # Runs and their parts that a worker remembers (some 200 bytes each), and the length up to which it does.
 CACHE_RUNS = 300_000
 CACHED_LENGTH = 64
+# Characters of texts worked on together.
+BLOCK = 1 << 20
 # Score under the lowest piece's for a character that no piece covers, as the library has it.
 UNKNOWN_PENALTY = 10.0
 # Types of pieces in a model file.
@@ -54,6 +56,13 @@ def _trie(score: dict[str, tuple[float, int]]) -> list:
         for char in piece:
             node = node[0].setdefault(char, [{}, None, -1])
         node[1], node[2] = value, number
+    # Nine nodes in ten lead nowhere: they share one empty table.
+    nothing: dict = {}
+    todo = [root]
+    while todo:
+        node = todo.pop()
+        todo += node[0].values()
+        node[0] = node[0] or nothing
     return root
 
 
@@ -278,10 +287,10 @@ def encode_pieces(docs: DataFrame, model_path: str, key: str = "doc_id", text: s
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         pieces = read_pieces(content)
-        for batch in (part for whole in batches for part in blocks(whole, "text")):
+        for batch in (part for whole in batches for part in blocks(whole, "text", BLOCK)):
             yield pd.DataFrame({key: batch["id"], "ids": [np.frombuffer(encode_bytes(t, pieces), "<i4") for t in batch["text"]]})
 
-    return rows.mapInPandas(run, schema)
+    return rows.mapInPandas(released(run, lambda: read_pieces(content).known.clear()), schema)
 
 
 def decode_pieces(rows: DataFrame, model_path: str, key: str = "doc_id", ids: str = "ids") -> DataFrame:
@@ -295,7 +304,7 @@ def decode_pieces(rows: DataFrame, model_path: str, key: str = "doc_id", ids: st
             texts = [None if i is None else decode_ids(i, pieces) for i in batch["ids"]]
             yield pd.DataFrame({key: batch["id"], "text": pd.Series(texts, dtype=object, index=batch.index)})
 
-    return rows.mapInPandas(run, schema)
+    return rows.mapInPandas(released(run, lambda: read_pieces(content).known.clear()), schema)
 
 
 def round_trip_pieces(docs: DataFrame, model_path: str, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -314,7 +323,7 @@ def round_trip_pieces(docs: DataFrame, model_path: str, key: str = "doc_id", tex
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         pieces = read_pieces(content)
-        for batch in (part for whole in batches for part in blocks(whole, "text")):
+        for batch in (part for whole in batches for part in blocks(whole, "text", BLOCK)):
             out = []
             for one, text_of in zip(batch["id"], batch["text"], strict=True):
                 ids = encode_bytes(text_of, pieces)
@@ -324,4 +333,4 @@ def round_trip_pieces(docs: DataFrame, model_path: str, key: str = "doc_id", tex
             found[key] = batch["id"].to_numpy()
             yield found
 
-    return rows.mapInPandas(run, schema)
+    return rows.mapInPandas(released(run, lambda: read_pieces(content).known.clear()), schema)

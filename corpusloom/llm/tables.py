@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+import ctypes
+import gc
+from collections.abc import Callable, Iterator, Sequence
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from corpusloom.shared import through_table
@@ -32,6 +35,28 @@ def blocks(batch: pd.DataFrame, column: str, size: int = 1 << 22) -> Iterator[pd
         yield part
 
 
+def released(run: Callable[[Iterator], Iterator], forget: Callable[[], None] | None = None) -> Callable[[Iterator], Iterator]:
+    """``run`` over the batches of a task, then give memory back: workers stay, and so would what their allocators hold.
+
+    ``forget`` drops what the worker remembers.
+    """
+
+    def whole(batches: Iterator) -> Iterator:
+        try:
+            yield from run(batches)
+        finally:
+            if forget is not None:
+                forget()
+            gc.collect()
+            pa.default_memory_pool().release_unused()
+            try:
+                ctypes.CDLL(None).malloc_trim(0)
+            except (AttributeError, OSError):  # not this C library
+                pass
+
+    return whole
+
+
 def with_copies(df: DataFrame, columns: Sequence[str], *carried: str) -> DataFrame:
     """One row for each distinct ``columns``, with ``copies``; summed up before the shuffle.
 

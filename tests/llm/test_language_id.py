@@ -1,4 +1,5 @@
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from corpusloom.llm.language_id import FEATURES, best_temperature, counts, held_out, ngram_ids, predict_language, train_ftrl, train_language_model
@@ -83,3 +84,55 @@ def test_no_ngram_is_lost_between_pieces(monkeypatch):
     for piece in range(1, 9):
         monkeypatch.setattr(language_id, "PIECE", piece)
         assert [found(t) for t in texts] == whole, piece
+
+
+def test_prediction_equals_a_plain_recomputation(spark):
+    """Scores from n-grams counted one by one in Python, and the model's weights."""
+    import math
+    from collections import Counter
+
+    from corpusloom.llm import language_id as module
+
+    def features(text):
+        letters = "".join(c if c.isalpha() else " " for c in (text or "").lower())
+        words = letters.split()
+        if not words:
+            return Counter()
+        line = " " + " ".join(words) + " "
+        found = Counter()
+        for n in module.ORDERS:
+            for i in range(len(line) - n + 1):
+                total = n
+                for c in line[i : i + n]:
+                    total = (total + ord(c)) * 0x9E3779B97F4A7C15 % (1 << 64)
+                    total ^= total >> 29
+                found[total % module.FEATURES] += 1
+        return found
+
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    model = train_language_model(docs.where(~held_out(docs.doc_id)))
+    rows = [(r.doc_id, r.text) for r in docs.limit(60).collect()] + [(-1, None), (-2, "12 34"), (-3, "Ünï 1 cödé"), (-4, "x" * 70_000)]
+    found = {r.doc_id: (r.lang_pred, r.score) for r in predict_language(spark.createDataFrame(rows, "doc_id long, text string"), model).collect()}
+    for i, text in rows:
+        counts = features(text)
+        if not counts:
+            assert found[i] == ("und", 0.0)
+            continue
+        n = sum(counts.values())
+        scores = [sum(float(model.weights[f, k]) * m for f, m in counts.items()) / n + model.bias[k] for k in range(len(model.languages))]
+        scaled = [s / model.temperature for s in scores]
+        total = sum(math.exp(s - max(scaled)) for s in scaled)
+        best = max(range(len(scaled)), key=lambda k: scaled[k])
+        assert found[i][0] == model.languages[best] and abs(found[i][1] - math.exp(scaled[best] - max(scaled)) / total) < 1e-6
+
+
+def test_languages_and_bytes_of_the_sample_are_bounded(spark, monkeypatch):
+    from corpusloom.llm import language_id as module
+
+    rows = [(i, f"word{'abc'[i % 3]} text {i}" * 5, ["en", "de", "fr"][i % 3]) for i in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    monkeypatch.setattr(module, "SAMPLE_BYTES", 6_000)
+    assert train_language_model(docs).languages == ["de", "en", "fr"]
+    monkeypatch.setattr(module, "MAX_LANGUAGES", 2)
+    with pytest.raises(ValueError, match="at most 2 languages"):
+        train_language_model(docs)

@@ -72,3 +72,19 @@ def test_other_bounds_are_refused_and_empty_tables_stay_empty(spark):
     assert dedup_lines(empty(spark)).count() == 0
     with pytest.raises(ValueError):
         line_classes(empty(spark), max_edits=2)
+
+
+def test_many_lines_of_one_text_go_in_linear_time(spark):
+    import time
+
+    def seconds(n):
+        text = "\n".join(["the same line again"] * n + [chr(97 + i) * 9 for i in range(20)])
+        start = time.perf_counter()
+        [row] = dedup_lines(spark.createDataFrame([(1, text)], "doc_id long, text string")).collect()
+        assert (row.n_lines, row.n_dropped) == (n + 20, n - 1)
+        assert row.text.split("\n")[:2] == ["the same line again", "a" * 9]
+        return time.perf_counter() - start
+
+    seconds(1_000)
+    # 16 times the lines; a walk for each dropped line would take 256 times as long.
+    assert seconds(320_000) < 16 * seconds(20_000) + 20
