@@ -279,8 +279,8 @@ def encode_pieces(docs: DataFrame, model_path: str, key: str = "doc_id", text: s
     The ids are those of the path whose pieces have the highest sum of scores in the model.
     Characters without a piece become bytes, if the model has byte pieces, else the unknown id, once
     for a stretch. Null and empty texts have no ids; null keys and repeated rows are rows like
-    others; only the two named columns are read. The model file is read on the driver and
-    goes out with the tasks (half a megabyte).
+    others; texts of any length are encoded whole; an empty table gives no rows; only the two named columns are
+    read. The model file is read on the driver and goes out with the tasks (half a megabyte).
     """
     rows, content = input_columns(docs, id=key, text=text), Path(model_path).read_bytes()
     schema = T.StructType([T.StructField(key, rows.schema["id"].dataType), T.StructField("ids", T.ArrayType(T.IntegerType()))])
@@ -311,7 +311,7 @@ def round_trip_pieces(docs: DataFrame, model_path: str, key: str = "doc_id", tex
     """Encode each whole text and decode the ids, in one pass.
 
     Returns key, ``n_ids``, ``ids_crc32`` (of the ids as little-endian unsigned 32-bit integers), ``same`` (the
-    decoded text is the text; null counts as empty) and ``decoded``. ``same`` is false where a text
+    decoded text is the text; null counts as empty) and ``decoded``; nothing for an empty table. ``same`` is false where a text
     holds the space mark itself, which decodes to a space, as in the library.
     """
     rows, content = input_columns(docs, id=key, text=text), Path(model_path).read_bytes()
