@@ -2,30 +2,37 @@
 
 from __future__ import annotations
 
+import codecs
 import json
 from collections.abc import Callable, Sequence
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
 from corpusloom.functions.ordering import as_keys
-from corpusloom.functions.text import strip_spaces, tokens_to_text
+from corpusloom.functions.text import CHAR_BPE, WORD_SUFFIX, shown_bytes, strip_spaces, tokens_to_text
 from corpusloom.sources.tokenizers import Tokenizer
 
 # Tokens sent to every executor, at most: no vocabulary can be larger.
 MAX_TOKENS = 1_112_063
 
 
+def _ordinary_tokens(tokenizer: Tokenizer) -> list[str | None]:
+    """The token of each id, null for special ones; more than ``MAX_TOKENS`` are refused."""
+    ordinary = tokenizer.vocab.where("not is_special").select("id", "token")
+    if ordinary.count() > MAX_TOKENS or (ordinary.agg(F.max("id")).first()[0] or 0) > MAX_TOKENS:
+        raise ValueError(f"a vocabulary holds at most {MAX_TOKENS} tokens")
+    by_id = {r["id"]: r["token"] for r in ordinary.collect()}
+    return [by_id.get(i) for i in range(max(by_id, default=-1) + 1)]
+
+
 def decoder(tokenizer: Tokenizer) -> Callable[[Column], Column]:
     """A function from a column of ids to texts; special tokens and unknown ids are left out.
 
     Tokens are looked up in one array, which is sent to every executor once; a vocabulary of more than
     ``MAX_TOKENS`` tokens is refused. Null ids give a null text.
     """
-    ordinary = tokenizer.vocab.where("not is_special").select("id", "token")
-    if ordinary.count() > MAX_TOKENS or (ordinary.agg(F.max("id")).first()[0] or 0) > MAX_TOKENS:
-        raise ValueError(f"a vocabulary holds at most {MAX_TOKENS} tokens")
-    by_id = {r["id"]: r["token"] for r in ordinary.collect()}
-    tokens = [by_id.get(i) for i in range(max(by_id, default=-1) + 1)]
+    tokens = _ordinary_tokens(tokenizer)
     # One literal, made from one string: far cheaper than a literal for each token.
     listed = F.from_json(F.lit(json.dumps(tokens)), F.lit("array<string>"))
 
@@ -52,6 +59,56 @@ def decode(
     return df.select(*as_keys(key), text.alias("decoded"))
 
 
+class Settling:
+    """The text that each token of a sequence settles, as the tokens come.
+
+    What a later token can still change is held back: the bytes of an unfinished character, or the space
+    after a word, which the end of the text does without.
+    """
+
+    def __init__(self, kind: str):
+        self.word_ended = False
+        self.characters = None if kind == CHAR_BPE else codecs.getincrementaldecoder("utf-8")("replace")
+        self.byte_of = {c: b for b, c in enumerate(shown_bytes())}
+
+    def push(self, token: str | None) -> str:
+        if token is None:
+            return ""
+        if self.characters is not None:
+            return self.characters.decode(bytes(self.byte_of[c] for c in token))
+        before = " " if self.word_ended else ""
+        self.word_ended = token.endswith(WORD_SUFFIX)
+        return before + (token.removesuffix(WORD_SUFFIX)).replace(WORD_SUFFIX, " ")
+
+    def end(self) -> str:
+        return "" if self.characters is None else self.characters.decode(b"", final=True)
+
+
+def with_pieces(df: DataFrame, tokenizer: Tokenizer, ids_column: str = "raw_ids") -> DataFrame:
+    """All columns, and ``pieces``: for each id the text that it settles, as one who reads along would see it.
+
+    The pieces of a row joined are its decoded text. Special and unknown ids settle nothing; what is still held
+    back at the end belongs to the last piece. Null ids give null, no ids no pieces. Nothing is moved; of the
+    vocabulary each executor gets one copy.
+    """
+    kind = tokenizer.kind
+    shared = df.sparkSession.sparkContext.broadcast(_ordinary_tokens(tokenizer))
+
+    def of(ids: list[int | None]) -> list[str]:
+        tokens, settling = shared.value, Settling(kind)
+        known = (tokens[i] if i is not None and 0 <= i < len(tokens) else None for i in ids)
+        found = [settling.push(t) for t in known]
+        if found:
+            found[-1] += settling.end()
+        return found
+
+    @F.pandas_udf("array<string>")
+    def pieces(column: pd.Series) -> pd.Series:
+        return column.map(lambda ids: None if ids is None else of([None if i is None or i != i else int(i) for i in ids]))
+
+    return df.withColumn("pieces", pieces(F.col(ids_column)))
+
+
 def round_trip(df: DataFrame, text_column: str = "text") -> DataFrame:
     """For each split: texts, texts equal to their stripped ``decoded`` text, and the share."""
     same = F.count_if(strip_spaces(F.col("decoded")) == F.col(text_column))

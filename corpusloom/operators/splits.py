@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from corpusloom.functions.ordering import as_keys, order_hash
 from corpusloom.operators.ranking import order_position, quota_cutoffs
@@ -43,6 +43,27 @@ def split_train_validation(
     return df.withColumn("split", F.when(is_validation, VALIDATION).otherwise(TRAIN))
 
 
+def split_added(
+    df: DataFrame,
+    key: str | Sequence[str],
+    rows_before: int,
+    validation_before: int,
+    validation_size: float = VALIDATION_SIZE,
+    seed: object = SEED,
+) -> DataFrame:
+    """Cutoff of the rows that are added to a split corpus: one row, or none if all of them go to train.
+
+    Earlier rows stay where they are; of the new ones, as many as are missing go to validation, so that of all rows
+    exactly ``ceil(rows * validation_size)`` are there again.
+    """
+
+    def missing(rows: Column) -> Column:
+        wanted = F.ceil((rows + F.lit(rows_before)) * F.lit(float(validation_size))) - F.lit(validation_before)
+        return F.least(rows, F.greatest(wanted, F.lit(0)))
+
+    return quota_cutoffs(df, key, [seed], missing)
+
+
 def filter_length(
     df: DataFrame, max_length: int = MAX_TEXT_LENGTH, text_column: str = "text"
 ) -> DataFrame:
