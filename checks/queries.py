@@ -15,13 +15,16 @@ from corpusloom.operators import decode as decoding
 from corpusloom.operators import losses, scores, scores_long, sequences, splits, stats, user_functions, words
 from corpusloom.operators.bpe import train_bpe
 from corpusloom.operators.encode import encode, with_ids
+from corpusloom.plans.append import append_dataset, read_appended
 from corpusloom.plans.build import model_ready
+from corpusloom.plans.epochs import store_epoch, stored_batches
 from corpusloom.plans.prepare import prepare_corpus
 from corpusloom.plans.train import train_on_corpus
 from corpusloom.shared import new_path
 from corpusloom.sources import texts as sources
 from corpusloom.sources.tokenizer_json import read_tokenizer_json, write_tokenizer_json
 from corpusloom.sources.tokenizers import Tokenizer, load_tokenizer, save_tokenizer, tokenizer_name
+from corpusloom.streaming.losses import running_loss_stream as losses_of_stream
 from corpusloom.streaming.tokenize import tokenize_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -428,6 +431,64 @@ def global_step(spark, sf_dir):
     return losses.with_global_step(log, batches).drop("loss")
 
 
+def running_loss_stream(spark, sf_dir):
+    """The log arrives in three parts; the query goes on from its checkpoint after each."""
+    log, arriving, path, progress = loss_log(spark, sf_dir), *(new_path(spark, n) for n in ("log", "running", "progress"))
+    last = log.agg(F.max("batch_num")).first()[0] or 0
+    third = F.floor(F.col("batch_num") * 3 / F.lit(last + 1))
+    for part in range(3):
+        log.where(third == part).write.mode("append").parquet(arriving)
+        running = losses_of_stream(spark.readStream.schema(log.schema).parquet(arriving))
+        writer = running.writeStream.format("parquet").option("path", path).option("checkpointLocation", progress)
+        writer.outputMode("append").trigger(availableNow=True).start().awaitTermination()
+    found = spark.read.parquet(path).where("not late")
+    return _rounded_means(found, "avg_so_far").drop("loss", "late")
+
+
+def split_appended(spark, sf_dir):
+    """The documents come in three loads, each with all before it."""
+    path = new_path(spark, "growing")
+    for load in range(3):
+        so_far = documents(spark, sf_dir).where(F.col("doc_id") % 3 <= load)
+        append_dataset(so_far, tokenizer(spark, sf_dir), "doc_id", path)
+    decoded = decoding.with_text(read_appended(spark, path), tokenizer(spark, sf_dir))
+    return decoded.select("doc_id", "added", "split", "decoded")
+
+
+def batches_entered(spark, sf_dir):
+    """The training epoch from its second batch on."""
+    path = new_path(spark, "epoch")
+    store_epoch(_sequences(spark, sf_dir), "doc_id", path, rows_per_file=BATCH * 8)
+    batches = stored_batches(spark, path, "doc_id", splits.TRAIN, first=1, batch_size=BATCH)
+    return batches.select("split", "batch_id", "doc_id", _text("x"), _text("y"))
+
+
+def _pieces(spark, sf_dir, kind):
+    made = tokenizer(spark, sf_dir, kind)
+    found = decoding.with_pieces(_encoded(spark, sf_dir, kind), made)
+    return found.select("doc_id", F.array_join("pieces", "").alias("decoded"))
+
+
+def decode_pieces(spark, sf_dir):
+    return _pieces(spark, sf_dir, CHAR_BPE)
+
+
+def decode_pieces_byte(spark, sf_dir):
+    return _pieces(spark, sf_dir, BYTE_BPE)
+
+
+def json_lines(spark, sf_dir):
+    """The documents as JSON lines, some cut off and some with a word for a number; those come back as they are."""
+    path = new_path(spark, "json")
+    cut = F.concat(F.lit('{"doc_id":'), "doc_id", F.lit(',"te'))
+    misfit = F.concat(F.lit('{"doc_id":"x'), "doc_id", F.lit('"}'))
+    line = F.to_json(F.struct("doc_id", "lang", "text"))
+    line = F.when(F.col("doc_id") % 7 == 0, cut).when(F.col("doc_id") % 11 == 0, misfit).otherwise(line)
+    documents(spark, sf_dir).select(line.alias("value")).write.text(path, lineSep="\n")
+    rows, aside = sources.read_json_lines(spark, path, "doc_id long, lang string, text string")
+    return rows.unionByName(aside.select("raw"), allowMissingColumns=True)
+
+
 def all_queries() -> dict[str, Query]:
     return {
         "split_counts": split_counts,
@@ -490,4 +551,10 @@ def all_queries() -> dict[str, Query]:
         "epoch_losses": epoch_losses,
         "running_loss": running_loss,
         "global_step": global_step,
+        "running_loss_stream": running_loss_stream,
+        "split_appended": split_appended,
+        "batches_entered": batches_entered,
+        "decode_pieces": decode_pieces,
+        "decode_pieces_byte": decode_pieces_byte,
+        "json_lines": json_lines,
     }

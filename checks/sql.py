@@ -261,7 +261,8 @@ def oracle() -> dict[str, str]:
     sql = _oracle()
     # Other forms of operators that are there already give the same rows.
     same = {"softmax_long": "softmax_scores", "topk_long": "topk_candidates", "topp_long": "topp_candidates", "draw_long": "seeded_draw",
-            "cross_entropy_long": "cross_entropy", "user_filter_columns": "filter_length", "user_map_batches": "batches_padded"}
+            "cross_entropy_long": "cross_entropy", "user_filter_columns": "filter_length", "user_map_batches": "batches_padded", "running_loss_stream": "running_loss",
+            "decode_pieces": "decode", "decode_pieces_byte": "decode_byte"}
     return sql | {name: sql[other] for name, other in same.items()}
 
 
@@ -293,6 +294,24 @@ def _oracle() -> dict[str, str]:
             SELECT split, doc_id, {_text('input_ids')} AS input_ids, {_text('output_ids')} AS output_ids
             FROM sequences""",
         "batches_padded": BATCHES,
+        "batches_entered": f"{BATCHES} WHERE split = 'train' AND batch_id >= 1",
+        "split_appended": f"""WITH loads AS (
+              SELECT *, (doc_id % 3 + 1)::INT AS added,
+                     row_number() OVER (PARTITION BY doc_id % 3 ORDER BY md5('123|' || doc_id), doc_id) AS place
+              FROM documents),
+            sizes AS (SELECT added, sum(count(*)) OVER (ORDER BY added) AS so_far FROM loads GROUP BY added),
+            quotas AS (
+              SELECT added, ceil(so_far * 0.2::DOUBLE)
+                            - coalesce(lag(ceil(so_far * 0.2::DOUBLE)) OVER (ORDER BY added), 0) AS quota FROM sizes)
+            SELECT doc_id, added, CASE WHEN place <= quota THEN 'validation' ELSE 'train' END AS split,
+                   {DECODED_CHAR} AS decoded
+            FROM loads JOIN quotas USING (added)""",
+        "json_lines": """
+            SELECT doc_id, lang, text, NULL AS raw FROM documents WHERE doc_id % 7 <> 0 AND doc_id % 11 <> 0
+            UNION ALL
+            SELECT NULL, NULL, NULL, CASE WHEN doc_id % 7 = 0 THEN '{"doc_id":' || doc_id || ',"te'
+                                          ELSE '{"doc_id":"x' || doc_id || '"}' END
+            FROM documents WHERE doc_id % 7 = 0 OR doc_id % 11 = 0""",
         "batch_counts": f"""WITH {split_cte()}
             SELECT split, ceil(count(*) / 32)::BIGINT AS n_batches FROM split_docs GROUP BY split""",
         "token_budget": f"""{WITH_SEQUENCES},
