@@ -14,13 +14,20 @@ from pyspark.sql import DataFrame, functions as F, types as T
 from corpusloom.llm.tables import blocks, input_columns, stored
 
 # Classes: 0 beyond the ends of a text, then frequent words of their own, then classes by hash.
-CLASSES, FREQUENT = 256, 191
+CLASSES, FREQUENT = 4_096, 3_071
 HASHED = CLASSES - 1 - FREQUENT
+# A class is predicted in two steps: its group, then the member of the group; groups hold words about as frequent.
+GROUPS, MEMBERS = 64, 64
+# As a neighbour, a class has a row of its own if it is among the first, else it shares one.
+OWN_ROWS, SHARED_ROWS = 768, 256
+ROW_OF = np.concatenate([np.arange(OWN_ROWS), OWN_ROWS + np.arange(OWN_ROWS, CLASSES) % SHARED_ROWS])
 WINDOW, HIDDEN = 2, 24
 OFFSETS = [o for o in range(-WINDOW, WINDOW + 1) if o]
 # Training: rounds over the corpus, which together mask each word once, and Adam's settings.
-ROUNDS, BATCH, RATE = 2, 2_048, 0.01
-BLOCK = 2_048
+ROUNDS, BATCH, RATE = 2, 4_096, 0.015
+BLOCK = 8_192
+# Parameters that travel together when networks are averaged.
+PART = 512
 CACHE_WORDS = 200_000
 # Frequent words whose counts go out with the tasks, at most; those of all others are joined.
 KNOWN_WORDS = 100_000
@@ -111,26 +118,46 @@ def _least_known(counted: DataFrame) -> int:
     return least
 
 
+def _softmax(scores: np.ndarray) -> np.ndarray:
+    """In place."""
+    scores -= scores.max(axis=1, keepdims=True)
+    np.exp(scores, out=scores)
+    scores /= scores.sum(axis=1, keepdims=True)
+    return scores
+
+
+def _log_chosen(scores: np.ndarray, chosen: np.ndarray) -> np.ndarray:
+    """Log-probability of one column in each row; the scores are used up."""
+    scores -= scores.max(axis=1, keepdims=True)
+    target = scores[np.arange(len(chosen)), chosen]
+    np.exp(scores, out=scores)
+    return target - np.log(scores.sum(axis=1))
+
+
 @dataclass
 class Network:
-    """Window of classes, a hidden layer, a distribution over classes."""
+    """Window of classes, a hidden layer, a distribution over groups and one over the members of each."""
 
-    tables: np.ndarray  # offset, class, hidden: the first layer for one-hot input
+    tables: np.ndarray  # offset, row of class, hidden: the first layer for one-hot input
     bias: np.ndarray
-    out: np.ndarray
-    out_bias: np.ndarray
+    groups: np.ndarray  # hidden, group
+    groups_bias: np.ndarray
+    members: np.ndarray  # group, hidden, member
+    members_bias: np.ndarray  # group, member
 
     @staticmethod
     def fresh(counts: np.ndarray) -> Network:
         """Random first layer; the output starts from how often each class occurs."""
         draw = np.random.default_rng(0)
-        tables = draw.normal(0, 0.3, (len(OFFSETS), CLASSES, HIDDEN))
-        out = draw.normal(0, 0.05, (HIDDEN, CLASSES))
-        frequency = np.log((counts + 0.1) / (counts + 0.1).sum())
-        return Network(*[x.astype("float32") for x in (tables, np.zeros(HIDDEN), out, frequency)])
+        tables = draw.normal(0, 0.3, (len(OFFSETS), OWN_ROWS + SHARED_ROWS, HIDDEN))
+        groups, members = draw.normal(0, 0.05, (HIDDEN, GROUPS)), draw.normal(0, 0.05, (GROUPS, HIDDEN, MEMBERS))
+        each = (counts + 0.1).reshape(GROUPS, MEMBERS)
+        whole = each.sum(axis=1, keepdims=True)
+        shares = np.log(whole[:, 0] / whole.sum()), np.log(each / whole)
+        return Network(*[x.astype("float32") for x in (tables, np.zeros(HIDDEN), groups, shares[0], members, shares[1])])
 
     def parts(self) -> list[np.ndarray]:
-        return [self.tables, self.bias, self.out, self.out_bias]
+        return [self.tables, self.bias, self.groups, self.groups_bias, self.members, self.members_bias]
 
     def flat(self) -> np.ndarray:
         return np.concatenate([p.ravel() for p in self.parts()])
@@ -140,44 +167,62 @@ class Network:
         pieces = np.split(np.asarray(values, "float32"), ends)
         return Network(*[v.reshape(p.shape) for v, p in zip(pieces, self.parts(), strict=True)])
 
-    def hidden(self, padded: np.ndarray, at: np.ndarray) -> np.ndarray:
-        """``at``: places in ``padded``, which has ``WINDOW`` zeros around each text."""
-        total = self.tables[0][padded[at + OFFSETS[0]]]
+    def hidden(self, rows: np.ndarray, at: np.ndarray) -> np.ndarray:
+        """``at``: places in ``rows``, the rows of classes, with ``WINDOW`` zeros around each text."""
+        total = self.tables[0][rows[at + OFFSETS[0]]]
         for table, offset in zip(self.tables[1:], OFFSETS[1:], strict=True):
-            total += table[padded[at + offset]]
+            total += table[rows[at + offset]]
         total += self.bias
         return np.tanh(total, out=total)
 
+    def member_scores(self, h: np.ndarray, group: np.ndarray) -> tuple[np.ndarray, list[tuple[int, slice]]]:
+        """Scores of the members of each place's own group, places in order of groups; which places each group has."""
+        ends = np.searchsorted(group, np.arange(GROUPS + 1)).tolist()
+        spans = [(g, slice(ends[g], ends[g + 1])) for g in range(GROUPS) if ends[g] < ends[g + 1]]
+        scores = self.members_bias[group]
+        for g, span in spans:
+            scores[span] += h[span] @ self.members[g]
+        return scores, spans
+
     def log_probabilities(self, padded: np.ndarray, at: np.ndarray) -> np.ndarray:
         """Log-probability of the class at each place, given those around it."""
-        found = np.empty(len(at))
+        found, rows = np.empty(len(at)), ROW_OF[padded]
         for start in range(0, len(at), BLOCK):
             block = at[start : start + BLOCK]
-            h = self.hidden(padded, block)
-            scores = h @ self.out
-            scores += self.out_bias
-            target = scores[np.arange(len(block)), padded[block]]
-            top = scores.max(axis=1)
-            scores -= top[:, None]
-            np.exp(scores, out=scores)
-            found[start : start + BLOCK] = target - top - np.log(scores.sum(axis=1))
+            order = np.argsort(padded[block] // MEMBERS, kind="stable")
+            block = block[order]
+            group, member = padded[block] // MEMBERS, padded[block] % MEMBERS
+            h = self.hidden(rows, block)
+            scores = h @ self.groups
+            scores += self.groups_bias
+            each = _log_chosen(scores, group) + _log_chosen(self.member_scores(h, group)[0], member)
+            found[start + order] = each
         return found
 
     def gradient(self, padded: np.ndarray, at: np.ndarray) -> list[np.ndarray]:
-        h = self.hidden(padded, at)
-        p = h @ self.out
-        p += self.out_bias
-        p -= p.max(axis=1, keepdims=True)
-        np.exp(p, out=p)
-        p /= p.sum(axis=1, keepdims=True)
-        p[np.arange(len(at)), padded[at]] -= 1
+        at = at[np.argsort(padded[at] // MEMBERS, kind="stable")]
+        group, member = padded[at] // MEMBERS, padded[at] % MEMBERS
+        rows, places = ROW_OF[padded], np.arange(len(at))
+        h = self.hidden(rows, at)
+        p = h @ self.groups
+        p += self.groups_bias
+        _softmax(p)[places, group] -= 1
         p /= len(at)
-        back = (p @ self.out.T) * (1 - h * h)
+        q, spans = self.member_scores(h, group)
+        _softmax(q)[places, member] -= 1
+        q /= len(at)
+        back = p @ self.groups.T
+        members, members_bias = np.zeros_like(self.members), np.zeros_like(self.members_bias)
+        for g, span in spans:
+            back[span] += q[span] @ self.members[g].T
+            members[g] = h[span].T @ q[span]
+        members_bias[[g for g, _ in spans]] = np.add.reduceat(q, [span.start for _, span in spans])
+        back *= 1 - h * h
         tables, cells, of_cell = np.empty_like(self.tables), np.arange(HIDDEN), back.ravel()
         for table, offset in zip(tables, OFFSETS, strict=True):
-            near = padded[at + offset][:, None] * HIDDEN + cells
-            table[:] = np.bincount(near.ravel(), of_cell, CLASSES * HIDDEN).reshape(CLASSES, HIDDEN)
-        return [tables, back.sum(axis=0), h.T @ p, p.sum(axis=0)]
+            near = rows[at + offset][:, None] * HIDDEN + cells
+            table[:] = np.bincount(near.ravel(), of_cell, table.size).reshape(table.shape)
+        return [tables, back.sum(axis=0), h.T @ p, p.sum(axis=0), members, members_bias]
 
 
 class Adam:
@@ -196,15 +241,15 @@ class Adam:
 
 
 def padded_texts(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Texts of one byte a word, side by side with zeros between; the places of words; words of each text."""
-    gap = bytes(WINDOW)
-    padded = np.frombuffer(gap + b"".join(t + gap for t in texts), "uint8").astype("int64")
-    lengths = np.array([len(t) for t in texts], "int64")
+    """Texts of two bytes a word, side by side with zeros between; the places of words; words of each text."""
+    gap = bytes(2 * WINDOW)
+    padded = np.frombuffer(gap + b"".join(t + gap for t in texts), "<u2").astype("int64")
+    lengths = np.array([len(t) // 2 for t in texts], "int64")
     return padded, np.flatnonzero(padded), lengths
 
 
 def _classes(rows: DataFrame, vocabulary: Vocabulary) -> DataFrame:
-    """Each text as a string of bytes, one for the class of each word.
+    """Each text as a string of bytes, two for the class of each word.
 
     Also a number for the row, to be kept by writing the table, the sum of known words' shares, and the other words with
     how often the text has them.
@@ -218,14 +263,22 @@ def _classes(rows: DataFrame, vocabulary: Vocabulary) -> DataFrame:
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         class_of = ClassOf(frequent)
+        # One look-up a word: the place of a known one in these two arrays, the last place for all others.
+        place = {word: i for i, word in enumerate(known)}
+        class_at = np.array([class_of[word] for word in known] + [0], "<u2")
+        share_at = np.array([*known.values(), 0.0])
+        other = len(known)
         for batch in (part for whole in batches for part in blocks(whole, "text")):
             classes, shares, others = [], [], []
             for text in batch["text"]:
                 found = words(text)
-                classes.append(bytes(map(class_of.__getitem__, found)))
-                each = list(map(known.get, found))
-                others.append(Counter(w for w, share in zip(found, each, strict=True) if share is None))
-                shares.append(sum(share for share in each if share is not None))
+                places = np.fromiter((place.get(w, other) for w in found), "int64", len(found))
+                each, rest = class_at[places], np.flatnonzero(places == other).tolist()
+                unknown = [found[i] for i in rest]
+                each[rest] = [class_of[w] for w in unknown]
+                classes.append(each.tobytes())
+                others.append(Counter(unknown))
+                shares.append(share_at[places].sum())
             yield pd.DataFrame({
                 "id": batch["id"].to_numpy(), "row": batch["row"].to_numpy(), "classes": classes, "shares": np.array(shares, "float64"),
                 "words": [list(o.keys()) for o in others], "times": [list(o.values()) for o in others],
@@ -249,12 +302,25 @@ def _train_round(texts: DataFrame, network: Network, number: int) -> Network:
             seen += len(at)
         if seen:
             values = learner.network.flat().astype("float64")
-            yield pd.DataFrame({"i": np.arange(-1, len(values)), "v": np.append(1.0, values) * seen})
-
-    # One figure for each parameter reaches the driver.
-    total = texts.select("classes").mapInPandas(run, "i int, v double").groupBy("i").agg(F.sum("v").alias("v"))
-    found = total.toPandas().sort_values("i")["v"].to_numpy()
-    return network.filled(found[1:] / found[0]) if len(found) else network
+            weighed = np.append(1.0, values) * seen
+            parts = [weighed[low : low + PART].tobytes() for low in range(0, len(weighed), PART)]
+            yield pd.DataFrame({"part": range(len(parts)), "sums": parts})
+
+    def added(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        sums: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for part, values in zip(batch["part"], batch["sums"], strict=True):
+                sums[part] = sums.get(part, 0.0) + np.frombuffer(values)
+        yield pd.DataFrame({"part": list(sums), "sums": [v.tobytes() for v in sums.values()]})
+
+    # A task holds one sum for each of its parts, however many networks there are; the driver one figure a parameter.
+    schema = "part int, sums binary"
+    total = texts.select("classes").mapInPandas(run, schema).repartition("part").mapInPandas(added, schema)
+    found = [r.sums for r in sorted(total.collect(), key=lambda r: r.part)]
+    if not found:
+        return network
+    figures = np.frombuffer(b"".join(found))
+    return network.filled(figures[1:] / figures[0])
 
 
 def train_network(texts: DataFrame, vocabulary: Vocabulary) -> Network:
@@ -293,15 +359,16 @@ def word_shares(texts: DataFrame, vocabulary: Vocabulary) -> DataFrame:
 def pseudo_likelihood(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """Score each document by how well its words are predicted from their neighbours.
 
-    Words are counted over the whole corpus. The most frequent have a class each, others share
-    classes by hash. The network is trained on every word of every document, one in ``ROUNDS`` masked in
-    each round, by tasks side by side whose networks are averaged. A word's log-probability is that of its class
+    Words are counted over the whole corpus. The ``FREQUENT`` most frequent have a class each, others share
+    classes by hash; the network predicts the group of a word's class, then the class in the group. It is trained on every word
+    of every document, one in ``ROUNDS`` masked in each round, by tasks side by side whose networks are averaged. A word's log-probability is that of its class
     given two words on either side, plus the logarithm of the word's part of all occurrences of the class.
     The driver and each task hold the counts of at most ``KNOWN_WORDS`` words; those of others are joined.
 
     Returns key, ``n_tokens``, ``log_likelihood`` (the sum) and ``mean_log_likelihood`` (null without words). Null
     and empty texts have no words and sum 0. Null keys and repeated rows are rows like others; of other
-    columns none is read. An empty table gives an empty one.
+    columns none is read. An empty table gives an empty one. Very long texts are whole: a task holds the classes of some
+    at a time, two bytes a word.
     """
     rows = input_columns(docs, id=key, text=text)
     vocabulary = build_vocabulary(rows)

@@ -16,12 +16,30 @@ def brute(classes, network, sizes):
         h = network.bias.astype("float64").copy()
         for k, offset in enumerate(pl.OFFSETS):
             j = i + offset
-            h += network.tables[k][classes[j] if 0 <= j < len(classes) else 0]
-        scores = np.tanh(h) @ network.out + network.out_bias
-        total += scores[c] - math.log(np.exp(scores).sum()) - math.log(max(sizes[c], 1))
+            h += network.tables[k][pl.ROW_OF[classes[j] if 0 <= j < len(classes) else 0]]
+        h = np.tanh(h)
+        groups, members = np.exp(h @ network.groups + network.groups_bias), np.exp(h @ network.members[c // 64] + network.members_bias[c // 64])
+        total += math.log(groups[c // 64] / groups.sum()) + math.log(members[c % 64] / members.sum()) - math.log(max(sizes[c], 1))
     return total
 
 
+def test_probabilities_of_all_classes_sum_to_one():
+    draw = np.random.default_rng(3)
+    network = pl.Network.fresh(draw.integers(0, 50, pl.CLASSES))
+    # Every class in the middle of the same four neighbours.
+    texts = [np.array([5, 900, c, 2, 4_000], "<u2").tobytes() for c in range(1, pl.CLASSES)]
+    padded, at, _ = pl.padded_texts(texts)
+    each = np.exp(network.log_probabilities(padded, at[2::5]))
+    zero = math.exp(brute([5, 900, 0, 2, 4_000], network, np.ones(pl.CLASSES)) - brute_rest(network))
+    assert abs(each.sum() + zero - 1) < 1e-4
+
+
+def brute_rest(network):
+    """The four words around a class 0, which are scored with it."""
+    padded = np.array([0, 0, 5, 900, 0, 2, 4_000, 0, 0])
+    return float(network.log_probabilities(padded, np.array([2, 3, 5, 6])).sum())
+
+
 def test_scores_equal_brute_force(spark):
     rows = input_columns(messy(spark), id="doc_id", text="text")
     vocabulary = pl.build_vocabulary(rows)
@@ -52,7 +70,7 @@ def test_counts_and_classes(spark, documents):
 
 def test_gradient():
     draw = np.random.default_rng(1)
-    padded, at, _ = pl.padded_texts([bytes(draw.integers(1, 20, 9).tolist()) for _ in range(3)])
+    padded, at, _ = pl.padded_texts([draw.integers(1, pl.CLASSES, 9).astype("<u2").tobytes() for _ in range(3)])
     network = pl.Network.fresh(np.ones(pl.CLASSES))
     network = pl.Network(*[p.astype("float64") for p in network.parts()])
     loss = lambda: -network.log_probabilities(padded, at).mean()
