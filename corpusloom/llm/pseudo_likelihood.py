@@ -118,6 +118,11 @@ def _least_known(counted: DataFrame) -> int:
     return least
 
 
+def neighbours(padded: np.ndarray, at: np.ndarray) -> list[np.ndarray]:
+    """For each offset the rows of the classes beside the places ``at``; ``WINDOW`` zeros are around each text."""
+    return [ROW_OF[padded[at + offset]] for offset in OFFSETS]
+
+
 def _softmax(scores: np.ndarray) -> np.ndarray:
     """In place."""
     scores -= scores.max(axis=1, keepdims=True)
@@ -167,11 +172,11 @@ class Network:
         pieces = np.split(np.asarray(values, "float32"), ends)
         return Network(*[v.reshape(p.shape) for v, p in zip(pieces, self.parts(), strict=True)])
 
-    def hidden(self, rows: np.ndarray, at: np.ndarray) -> np.ndarray:
-        """``at``: places in ``rows``, the rows of classes, with ``WINDOW`` zeros around each text."""
-        total = self.tables[0][rows[at + OFFSETS[0]]]
-        for table, offset in zip(self.tables[1:], OFFSETS[1:], strict=True):
-            total += table[rows[at + offset]]
+    def hidden(self, near: list[np.ndarray]) -> np.ndarray:
+        """``near``: for each offset the rows of the neighbours."""
+        total = self.tables[0][near[0]]
+        for table, rows in zip(self.tables[1:], near[1:], strict=True):
+            total += table[rows]
         total += self.bias
         return np.tanh(total, out=total)
 
@@ -186,13 +191,13 @@ class Network:
 
     def log_probabilities(self, padded: np.ndarray, at: np.ndarray) -> np.ndarray:
         """Log-probability of the class at each place, given those around it."""
-        found, rows = np.empty(len(at)), ROW_OF[padded]
+        found = np.empty(len(at))
         for start in range(0, len(at), BLOCK):
             block = at[start : start + BLOCK]
             order = np.argsort(padded[block] // MEMBERS, kind="stable")
             block = block[order]
             group, member = padded[block] // MEMBERS, padded[block] % MEMBERS
-            h = self.hidden(rows, block)
+            h = self.hidden(neighbours(padded, block))
             scores = h @ self.groups
             scores += self.groups_bias
             each = _log_chosen(scores, group) + _log_chosen(self.member_scores(h, group)[0], member)
@@ -202,8 +207,8 @@ class Network:
     def gradient(self, padded: np.ndarray, at: np.ndarray) -> list[np.ndarray]:
         at = at[np.argsort(padded[at] // MEMBERS, kind="stable")]
         group, member = padded[at] // MEMBERS, padded[at] % MEMBERS
-        rows, places = ROW_OF[padded], np.arange(len(at))
-        h = self.hidden(rows, at)
+        near, places = neighbours(padded, at), np.arange(len(at))
+        h = self.hidden(near)
         p = h @ self.groups
         p += self.groups_bias
         _softmax(p)[places, group] -= 1
@@ -219,9 +224,9 @@ class Network:
         members_bias[[g for g, _ in spans]] = np.add.reduceat(q, [span.start for _, span in spans])
         back *= 1 - h * h
         tables, cells, of_cell = np.empty_like(self.tables), np.arange(HIDDEN), back.ravel()
-        for table, offset in zip(tables, OFFSETS, strict=True):
-            near = rows[at + offset][:, None] * HIDDEN + cells
-            table[:] = np.bincount(near.ravel(), of_cell, table.size).reshape(table.shape)
+        for table, rows in zip(tables, near, strict=True):
+            hit = rows[:, None] * HIDDEN + cells
+            table[:] = np.bincount(hit.ravel(), of_cell, table.size).reshape(table.shape)
         return [tables, back.sum(axis=0), h.T @ p, p.sum(axis=0), members, members_bias]
 
 
