@@ -111,3 +111,49 @@ def test_few_rounds_for_many_merges(spark, documents, monkeypatch):
     monkeypatch.setattr(bpe, "_stored", lambda df, name: written.append(name) or stored(df, name))
     merges = train_bpe(documents, vocab_size=900).merges
     assert merges.count() > 500 and len(written) <= 20
+
+
+def test_words_in_one_array_are_merged_and_counted_like_words_alone():
+    """Blocks of many words: merges, the pairs they take away and make, and the words that are left."""
+    rng = random.Random(5)
+    for _ in range(60):
+        words = ["".join(rng.choices("abc", k=rng.randint(2, rng.choice([4, 9, 400])))) for _ in range(rng.randint(1, 20))]
+        counts = [rng.randint(1, 9) for _ in words]
+        known, merges = "abc", []
+        for new in "defghijkl":
+            pair = rng.choice(known) + rng.choice(known)
+            if pair not in dict(merges):
+                merges.append((pair, new))
+                known += new
+        done, guess = merges[:4], merges[4:]
+        spelled = list(words)
+        for pair, new in done:
+            spelled = [w.replace(pair, new) for w in spelled]
+        before = pairs_of(spelled, counts)
+        expected = {(-1, p): n for p, n in before.items()}
+        for step, (pair, new) in enumerate(guess):
+            spelled = [w.replace(pair, new) for w in spelled]
+            found = pairs_of(spelled, counts)
+            expected |= {(step, p): found[p] - before[p] for p in found | before if found[p] != before[p]}
+            before = found
+        batch = pd.DataFrame({"n": counts, "word": words})
+        rows = pd.concat(bpe._trial([done], guess)(iter([batch[:5], batch[5:]])))
+        assert dict(zip(zip(rows["step"], rows["pair"]), rows["count"])) == expected
+        left = pd.concat(bpe._merged([done, guess])(iter([batch])))
+        assert list(zip(left["n"], left["word"])) == [(n, w) for n, w in zip(counts, spelled) if len(w) > 1]
+
+
+def pairs_of(words, counts):
+    sums = Counter()
+    for word, n in zip(words, counts):
+        for pair in map(str.__add__, word, word[1:]):
+            sums[pair] += n
+    return sums
+
+
+def test_guesses_hear_all_words_as_long_as_they_fit(spark, monkeypatch):
+    words = spark.range(120_000).selectExpr("id % 7 + 1 as n", "concat('w', cast(id as string)) as word")
+    assert len(bpe._forecast(words).counts) == 120_000
+    monkeypatch.setattr(bpe, "_GUESS_SYMBOLS", 60_000)
+    few = bpe._forecast(words).counts
+    assert 4_000 < len(few) < 20_000 and abs(few.sum() / 480_000 - 1) < 0.1
