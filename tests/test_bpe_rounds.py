@@ -6,6 +6,7 @@ from collections import Counter
 import pandas as pd
 import pytest
 
+from corpusloom.functions.text import BYTE_BPE, SPECIAL_TOKENS
 from corpusloom.operators import bpe
 from corpusloom.operators.bpe import Vocabulary, symbol, train_bpe
 from tests.test_bpe import one_by_one
@@ -151,6 +152,65 @@ def pairs_of(words, counts):
     return sums
 
 
+def test_words_are_cut_inside_rare_pairs():
+    rng = random.Random(8)
+    for _ in range(60):
+        words = ["".join(rng.choices("abcd", k=rng.randint(2, rng.choice([4, 9, 300])))) for _ in range(rng.randint(1, 20))]
+        counts = [rng.randint(1, 9) for _ in words]
+        rounds = [[("ab", "x")], [("xc", "y"), ("dd", "z")]]
+        kept = {a + b for a in "abcdxyz" for b in "abcdxyz" if rng.random() < 0.4} | {"aa"}
+        expected = Counter()
+        for word, n in zip(words, counts):
+            for pair, new in sum(rounds, []):
+                word = word.replace(pair, new)
+            parts = word[0] + "".join(b if a + b in kept else f" {b}" for a, b in zip(word, word[1:]))
+            for part in parts.split(" "):
+                expected[part] += n * (len(part) > 1)
+        batch = pd.DataFrame({"n": counts, "word": words})
+        found = [row for part in bpe._cut(rounds, list(kept))(iter([batch[:3], batch[3:]])) for row in zip(part["word"], part["n"])]
+        assert dict(found) == +expected and len(found) == len(dict(found))
+
+
+# The bound on what is cut: about right, too high at once, and found by few merges ahead.
+@pytest.mark.parametrize("ahead, below, kept", [(4_096, 0.75, 200_000), (4_096, 1.3, 200_000), (2, 0.9, 12)])
+def test_cut_words_give_the_same_merges(spark, monkeypatch, ahead, below, kept):
+    rng = random.Random(ahead + kept)
+    parts = ["".join(rng.choices("abc", k=rng.randint(1, 4))) for _ in range(9)]
+    rows = [(" ".join("".join(rng.choices(parts, k=rng.randint(1, 4))) for _ in range(30)),) for _ in range(12)]
+    texts = spark.createDataFrame(rows, "text string").coalesce(1)
+    monkeypatch.setattr(bpe, "_TRIED", 9)
+    monkeypatch.setattr(bpe, "_CUT_ROUNDS", 1)
+    merges, there = {}, [a + b + c for a in "abc" for b in "abc" for c in ("", "a", "b</w>")]
+    for cut in (True, False):
+        with monkeypatch.context() as patch:
+            cuts = []
+            if cut:
+                for name, value in (("_AHEAD", ahead), ("_CUT_BELOW", below), ("_KEPT", kept)):
+                    patch.setattr(bpe, name, value)
+                patch.setattr(bpe, "_parts", lambda *given, real=bpe._parts: cuts.append(1) or real(*given))
+            else:
+                patch.setattr(bpe, "_frequent", lambda pairs, least: ([], 0))
+            # Some merges give a token that is there.
+            trained = train_bpe(texts, vocab_size=90, special_tokens=(*SPECIAL_TOKENS, *there))
+            merges[cut] = [tuple(r) for r in trained.merges.orderBy("rank").collect()]
+            assert bool(cuts) == cut
+    assert merges[True] == merges[False] and len(merges[True]) > 30
+    assert 2 < len({new for *_, new in merges[True]} & set(there))
+
+
+def test_later_rounds_go_over_parts_of_words(spark, documents, monkeypatch):
+    symbols = []
+    real = bpe._tried
+
+    def tried_on(words, rounds, guess):
+        symbols.append(words.agg({"n": "count"}).first()[0])
+        return real(words, rounds, guess)
+
+    monkeypatch.setattr(bpe, "_tried", tried_on)
+    train_bpe(documents, BYTE_BPE, vocab_size=1_200)
+    assert symbols[-1] < symbols[0] / 3
+
+
 def test_guesses_hear_all_words_as_long_as_they_fit(spark, monkeypatch):
     words = spark.range(120_000).selectExpr("id % 7 + 1 as n", "concat('w', cast(id as string)) as word")
     assert len(bpe._forecast(words).counts) == 120_000
