@@ -19,6 +19,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from tokenizers import Tokenizer
 
+from corpusloom.functions.text import shown_bytes
 from corpusloom.llm.tables import input_columns
 
 MAGIC = b"CLIDS\x00\x00\x01"
@@ -26,25 +27,31 @@ HEADER = len(MAGIC) + 32
 # The dictionary is trained on up to so many documents, and so many bytes of each.
 SAMPLE_DOCUMENTS, SAMPLE_BYTES, DICTIONARY_BYTES = 1_000, 16_384, 65_536
 LEVEL = 3
-# Chunks a worker remembers, of some 200 bytes each, twice over; new chunks encoded in one call; characters of texts encoded together.
-CACHE_CHUNKS, NEW_CHUNKS, GROUP_CHARACTERS = 300_000, 1_000, 1 << 20
+# Chunks a worker remembers, of some 200 bytes each, twice over; characters of texts encoded together.
+CACHE_CHUNKS, GROUP_CHARACTERS = 300_000, 1 << 20
 # Neighbouring frames are read together up to this size.
 READ_BYTES = 8 << 20
 
 # The pattern of byte-level pre-tokenizers cuts before a space that a visible character follows (not before one inside
-# other white space), and between an ASCII letter or digit and a stop or comma. `\\s` here is no narrower than there.
+# other white space), and between a letter or digit and one of these marks. `\\s` here is no narrower than there.
 _CUT, _UNCUT = re.compile(r" (?=\S)"), re.compile(r" (?:\s|$)")
-_WORD_END = re.compile(r"(?<=[a-zA-Z0-9])(?=[.,])")
+_MARKS = ".,:;!?*#$%&"
+# Letters that every version of Unicode in use has as such.
+_LETTERS = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f"
+_WORD_END = re.compile(f"[{_MARKS}](?<=[{_LETTERS}0-9][{_MARKS}])")
 # Stands before a chunk that no space precedes; texts that hold it are encoded whole.
 _BARE = "\0"
+# A word, which is one piece to the pattern; a line end before it is one, too, and so is the mark before that.
+_WORD = re.compile(f"[{_LETTERS}]+")
+_LINE_END = re.compile(r"[.,]?\n|")
 
 
 class ChunkEncoder:
     """Ids of texts, chunk by chunk, as little-endian unsigned 32-bit integers.
 
     A byte-level pre-tokenizer always cuts at the places above, so the library can encode chunks apart
-    from their text; those seen before are remembered. New chunks go to the library many at a time, as
-    one text, whose ids are cut where a token begins with the space. Where a tokenizer or a text
+    from their text; those seen before are remembered. A chunk that is one word of letters is one piece to the
+    pre-tokenizer, so it goes to the library's model at once. Where a tokenizer or a text
     is not like that, whole texts are encoded.
     """
 
@@ -54,38 +61,41 @@ class ChunkEncoder:
         cuts = spec.get("pre_tokenizer") or {}
         self.by_chunk = (
             cuts.get("type") == "ByteLevel" and not cuts.get("add_prefix_space") and cuts.get("use_regex", True)
-            and not spec.get("normalizer") and not any(re.search(r"[\s.,]", t["content"]) for t in spec.get("added_tokens") or [])
+            and not spec.get("normalizer") and not any(re.search(rf"[\s{_MARKS}]", t["content"]) for t in spec.get("added_tokens") or [])
         )
-        vocabulary = self.tokenizer.get_vocab()
-        self.spaced = np.zeros(max(vocabulary.values(), default=-1) + 1, bool)
-        self.spaced[[i for token, i in vocabulary.items() if "\u0120" in token]] = True  # the space, as tokens show it
+        # An added token is cut out of a word, too.
+        self.by_word = self.by_chunk and not any(_WORD.fullmatch(t["content"]) for t in spec.get("added_tokens") or [])
+        self.model = self.tokenizer.model
+        self.shown = str.maketrans({chr(byte): mark for byte, mark in enumerate(shown_bytes())})
+        self.bytes_of = [i.to_bytes(4, "little") for i in range(max(self.tokenizer.get_vocab().values(), default=-1) + 1)]
+        self.begins = lru_cache(maxsize=8)(self.whole)
         self.known: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
 
-    def _ids(self, text: str) -> np.ndarray:
-        return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
-
     def whole(self, text: str) -> bytes:
-        return self._ids(text).tobytes()
-
-    def _new(self, chunks: list[str]) -> list[bytes]:
-        ids = self._ids(" " + " ".join(chunks))
-        starts = np.flatnonzero(self.spaced[ids])
-        if len(starts) != len(chunks):
-            return [self.whole(" " + chunk) for chunk in chunks]
-        data, cuts = ids.tobytes(), [*(starts * 4).tolist(), 4 * len(ids)]
-        return [data[i:j] for i, j in zip(cuts, cuts[1:], strict=False)]
+        return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4").tobytes()
+
+    def _word(self, word: str, space: str) -> bytes:
+        if not word.isascii():
+            word = word.encode().decode("latin-1").translate(self.shown)
+        return b"".join([self.bytes_of[token.id] for token in self.model.tokenize(space + word)])
+
+    def _chunk(self, chunk: str) -> bytes:
+        """Ids of a chunk that is not known, from the library."""
+        if chunk[0] != _BARE:
+            if self.by_word and (chunk.isascii() and chunk.isalpha() or _WORD.fullmatch(chunk)):
+                return self._word(chunk, "\u0120")  # the space, as tokens show it
+            return self.whole(" " + chunk)
+        begin = _LINE_END.match(chunk, 1).end()
+        if self.by_word and _WORD.fullmatch(chunk, begin):
+            return self.begins(chunk[1:begin]) + self._word(chunk[begin:], "")
+        return self.whole(chunk[1:])
 
     def _learn(self, missed: set[str]) -> dict[str, bytes]:
         """Ids of chunks that are not known: from the older memory, or from the library."""
-        fresh = {chunk: self.older[chunk] for chunk in missed if chunk in self.older}
-        # A chunk that holds a space would be cut there as well: these go alone.
-        apart = [chunk for chunk in missed if chunk not in fresh and (chunk[0] == _BARE or " " in chunk)]
-        fresh.update((chunk, self.whole(chunk[1:] if chunk[0] == _BARE else " " + chunk)) for chunk in apart)
-        some = [chunk for chunk in missed if chunk not in fresh]
-        for low in range(0, len(some), NEW_CHUNKS):
-            block = some[low : low + NEW_CHUNKS]
-            fresh.update(zip(block, self._new(block), strict=True))
+        older, find = self.older.get, self._chunk
+        # No chunk is without ids.
+        fresh = {chunk: older(chunk) or find(chunk) for chunk in missed}
         if len(self.known) > CACHE_CHUNKS:
             # Chunks met again since the last change stay known, others go.
             self.older, self.known = self.known, {}
@@ -100,7 +110,7 @@ class ChunkEncoder:
             if not text or not self.by_chunk or _BARE in text:
                 whole.append(self.whole(text) if text else b"")
                 continue
-            marked = _WORD_END.sub(" " + _BARE, text)
+            marked = _WORD_END.sub(" " + _BARE + r"\g<0>", text)
             chunks = _CUT.split(marked) if _UNCUT.search(marked) else marked.split(" ")
             # Nothing, or no space, precedes the first.
             if chunks[0]:
@@ -111,10 +121,11 @@ class ChunkEncoder:
             sizes.append(len(chunks))
             flat += chunks
         ids = list(map(self.known.get, flat))
-        missed = {chunk for chunk, i in zip(flat, ids, strict=True) if i is None}
+        missed = [at for at, i in enumerate(ids) if i is None]
         if missed:
-            fresh = self._learn(missed)
-            ids = [fresh[chunk] if i is None else i for chunk, i in zip(flat, ids, strict=True)]
+            fresh = self._learn({flat[at] for at in missed})
+            for at in missed:
+                ids[at] = fresh[flat[at]]
         out, low, of = [], 0, iter(sizes)
         for done in whole:
             if done is None:

@@ -35,6 +35,30 @@ def test_spaces_inside_other_white_space():
         assert np.frombuffer(ids, "<u4").tolist() == tokenizer.encode(text, add_special_tokens=False).ids, repr(text)
 
 
+def test_words_go_to_the_model_and_marks_are_cut_off(monkeypatch):
+    content = open(PATH).read()
+    tokenizer, encoder = Tokenizer.from_str(content), ChunkEncoder(content)
+    draw, whole = random.Random(3), encoder.whole
+    parts = ["ab", "Éß", "ȡ", "ªº", "×", "1", "٣", "Ω", "***", "!!", "$", "?\n", ".\n", ",\nÑa", "\nB", "'s", "!'s", ":", " ", " ", "\u00a0", "<|endoftext|>", "\0"]
+    texts = ["".join(draw.choice(parts) for _ in range(draw.randint(0, 12))) for _ in range(10_000)]
+    for text, ids in zip(texts, encoder.encode_all(texts), strict=True):
+        assert np.frombuffer(ids, "<u4").tolist() == tokenizer.encode(text, add_special_tokens=False).ids, repr(text)
+    # Each word once, without the pre-tokenizer; the mark is one chunk for all of them.
+    asked = []
+    monkeypatch.setattr(encoder, "whole", lambda text: asked.append(text) or whole(text))
+    spelled = ["".join(draw.choice("abcdeé") for _ in range(12)) for _ in range(200)]
+    encoder.encode(" ".join(f"{word}%%%" for word in spelled))
+    assert set(asked) <= {"%%%"}
+
+
+def test_added_tokens_that_are_words():
+    tokenizer = Tokenizer.from_file(PATH)
+    tokenizer.add_tokens(["bcd"])
+    encoder = ChunkEncoder(tokenizer.to_str())
+    for text in ("abcde bcd", "a\nbcd", "abcd!! x.bcd"):
+        assert np.frombuffer(encoder.encode(text), "<u4").tolist() == tokenizer.encode(text, add_special_tokens=False).ids
+
+
 def test_one_repeated_key_goes_to_several_files(spark):
     docs = spark.createDataFrame([(None if i % 2 else 7, f"text number {i} " * 40) for i in range(4_000)], "doc_id long, text string")
     path = new_path(spark, "ids")
